@@ -1,13 +1,18 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Fingerprints: one bit for each of 64 bits that is set in over half of the XXH64 hashes
-of a text's word shingles. Equal fingerprints become one node first, so groups of copies
-of any size cost one comparison. Nodes are laid out in cells by the population counts of
-their four 16-bit quarters. Two fingerprints within `radius` bits lie in cells whose
-counts differ by `radius` at most in all, so tile pairs farther apart are skipped; the
-remaining pairs of tiles are compared whole with exclusive-or and bit counts in numpy.
-Cells of many nodes are split into tiles of bounded size, so no task holds an unbounded
-group, and a pair of tiles emits a star for each group that it links, never all pairs.
+Fingerprints: one bit for each hash bit that is set in over half of the XXH64 hashes of a
+text's word shingles, 64 bits, or 256 in the wide form, whose further words are mixed from
+the same hashes. Equal fingerprints become one node first, so groups of copies of any size
+cost one comparison. Nodes are laid out in cells by population counts, of four 16-bit
+quarters for a small radius, of the whole first word for a large one. Fingerprints within
+`radius` bits have counts that differ by `radius` at most in all, so pairs of tiles
+farther apart are skipped; the others are compared whole with exclusive-or and bit counts
+in numpy. Cells of many nodes are split into tiles of bounded size, so no task holds an
+unbounded group, and a pair of tiles emits a star for each group that it links, never all
+pairs. In the wide form pairs must also lie within `wide_radius` bits of all 256.
+
+Exact comparison of all tiles is quadratic in the number of distinct fingerprints; quarters
+keep about one pair in seventy at radius 2, the wide form nearly all.
 
 Defined results: null and empty texts have fingerprint 0 and link like any other; fewer
 words than a shingle make one shingle; repeated rows are kept; null ids are never the
@@ -27,122 +32,154 @@ from .common import forget, small, written
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: Rows of a tile: two tiles are compared in blocks of rows, about 16 MB at a time.
+#: Rows of a tile: two tiles are compared in blocks of about a million pairs.
 TILE_ROWS = 4096
-QUARTERS = 4
-_SLAB = 1 << 16
+WIDE_TILE_ROWS = 1 << 16
+_SLAB = 1 << 15
+#: The wide form: five-word shingles and a similarity of about 0.8 or more. At Jaccard 0.8
+#: the cosine of two sets of one size is 8/9, which differs in 0.15 of the bits: 39 of 256
+#: and 10 of 64. The radii leave about one and a half deviations of room.
+WIDE = {"shingle": 5, "radius": 14, "wide_radius": 44}
+_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE, wide: bool = False) -> list[int]:
+    """The words of the fingerprint: one, or four in the wide form."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    k = 4 if wide else 1
     if not words:
-        return 0
+        return [0] * k
     n = max(1, len(words) - shingle + 1)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[: n - 1].tolist()]
     stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((k, 64), np.int64)
     for at in range(0, n, _SLAB):
         h = np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[at : at + _SLAB], stops[at : at + _SLAB], strict=True)), np.uint64)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
+        for i in range(k):
+            x = h
+            if i:
+                x = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX[i - 1])
+                x = x ^ (x >> np.uint64(32))
+            ones[i] += np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").reshape(-1).view("<u8").tolist()
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long, of every whole text."""
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
+    """doc_id, key (hash of the text) and f0.. : the words of every whole text's fingerprint, as signed longs."""
+    k = 4 if wide else 1
 
     def run(batches):
         for b in batches:
-            got = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], names=["doc_id", "fp"])
+            got = np.array([fingerprint(t.as_py(), shingle, wide) for t in b.column(2)], np.uint64).reshape(-1, k).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(got[:, i].copy()) for i in range(k)]], names=["doc_id", "key", *[f"f{i}" for i in range(k)]])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text")).mapInArrow(
+        run, f"doc_id {kind}, key bigint, " + ", ".join(f"f{i} bigint" for i in range(k))
+    )
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int, same: bool):
-    """Index pairs (i, j) within radius, in blocks of rows."""
-    step = max(1, (1 << 21) // max(1, len(b)))
+def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, same: bool):
+    """Index pairs (i, j) within the radii, in blocks of rows."""
+    step = max(1, (1 << 20) // max(1, len(b)))
+    b0 = np.ascontiguousarray(b[:, 0])
     for at in range(0, len(a), step):
-        hit = np.bitwise_count(a[at : at + step, None] ^ b[None, :]) <= radius
-        i, j = np.nonzero(hit)
+        i, j = np.nonzero(np.bitwise_count(a[at : at + step, :1] ^ b0[None, :]) <= radius)
         i = i + at
         if same:
-            i, j = i[i < j], j[i < j]
+            keep = i < j
+            i, j = i[keep], j[keep]
+        if wide_radius is not None and len(i):
+            keep = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= wide_radius
+            i, j = i[keep], j[keep]
         if len(i):
             yield i, j
 
 
-def _stars(a: np.ndarray, b: np.ndarray | None, radius: int):
-    """Edges of one tile pair: every linked node with the root of its group in the pair."""
-    nodes = a if b is None else np.concatenate([a, b])
-    parent = np.arange(len(nodes))
-    any_ = False
-    for i, j in _near(a, a if b is None else b, radius, b is None):
-        any_, j = True, j + (0 if b is None else len(a))
+def _stars(a: np.ndarray, b: np.ndarray | None, radius: int, wide_radius: int | None = None):
+    """(node, root) places of one tile pair: every linked node with the root of its group in the pair."""
+    shift = 0 if b is None else len(a)
+    parent = np.arange(len(a) + (0 if b is None else len(b)))
+    for i, j in _near(a, a if b is None else b, radius, wide_radius, b is None):
+        j = j + shift
         while True:  # hook the larger root on the smaller, then shorten all paths
             p, q = parent[i], parent[j]
-            if (p == q).all():
+            apart = p != q
+            if not apart.any():
                 break
+            i, j, p, q = i[apart], j[apart], p[apart], q[apart]
             np.minimum.at(parent, np.maximum(p, q), np.minimum(p, q))
             while not ((up := parent[parent]) == parent).all():
                 parent = up
-    if any_:
-        moved = np.flatnonzero(parent != np.arange(len(nodes)))
-        yield nodes[moved], nodes[parent[moved]]
-
-
-def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges (u, v) among distinct fingerprints `fp` that connect all within radius bits."""
-    quarter = 64 // QUARTERS
-    counts = [F.bit_count(F.shiftrightunsigned("fp", quarter * k).bitwiseAND(F.lit((1 << quarter) - 1))) for k in range(QUARTERS)]
-    base = quarter + 1
+    moved = np.flatnonzero(parent != np.arange(len(parent)))
+    return moved, parent[moved]
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None, tile_rows: int | None = None) -> DataFrame:
+    """Edges (u, v) among nodes (fp, f0..) that connect all within the radii."""
+    words = [c for c in nodes.columns if c != "fp"]
+    # a small radius: four quarters, counts one by one; a large one: the first word, counts by eights
+    parts, grain = (4, 1) if radius <= 4 else (1, 8)
+    if tile_rows is None:
+        total = nodes.count()
+        tile_rows = TILE_ROWS if parts == 4 else max(TILE_ROWS, min(WIDE_TILE_ROWS, total // 12))
+    bits = 64 // parts
+    mask = F.lit((1 << bits) - 1 if parts > 1 else -1)
+    counts = [F.floor(F.bit_count(F.shiftrightunsigned("f0", bits * k).bitwiseAND(mask)) / F.lit(grain)).cast("int") for k in range(parts)]
+    top = bits // grain
+    base = top + 1
     cell = sum((c * base**k for k, c in enumerate(counts)), F.lit(0))
-    placed = nodes.select("fp", cell.cast("int").alias("cell"), *[c.alias(f"c{k}") for k, c in enumerate(counts)])
+    placed = nodes.select("fp", *words, cell.cast("int").alias("cell"), *[c.alias(f"c{k}") for k, c in enumerate(counts)])
     # at most 17^4 cells, whatever the input: a bounded broadcast
     tiles = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(tile_rows))).cast("int").alias("tiles"))
     tiles = written(tiles, "cells")
-    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=QUARTERS) if sum(map(abs, d)) <= radius]
+    least = lambda x: max(0, grain * abs(x) - (grain - 1))  # noqa: E731  bits by which counts in cells x apart differ
+    reach = [x for x in range(-top, top + 1) if least(x) <= radius]
+    steps = [d for d in itertools.product(reach, repeat=parts) if sum(map(least, d)) <= radius]
     step = F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"d{k}") for k, x in enumerate(d)], F.lit(sum(x * base**k for k, x in enumerate(d))).alias("off")) for d in steps]))
     own = placed.join(F.broadcast(tiles), "cell").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     inside = F.lit(True)
-    for k in range(QUARTERS):
-        inside = inside & (F.col(f"c{k}") + F.col(f"s.d{k}")).between(0, quarter)
+    for k in range(parts):
+        inside = inside & (F.col(f"c{k}") + F.col(f"s.d{k}")).between(0, top)
     other = tiles.select(F.col("cell").alias("cell2"), F.col("tiles").alias("tiles2"))
     met = (
         own.withColumn("s", step).filter(inside).withColumn("cell2", F.col("cell") + F.col("s.off"))
         .join(F.broadcast(other), "cell2")
         .withColumn("tile2", F.explode(F.sequence(F.lit(0), F.col("tiles2") - 1)))
-    )
-    here, there = F.struct("cell", "tile"), F.struct(F.col("cell2").alias("cell"), F.col("tile2").alias("tile"))
-    lower = here <= there
-    pack = lambda t: F.shiftleft(t["cell"].cast("long"), 32).bitwiseOR(t["tile"].cast("long"))
+    )
+    pack = lambda c, t: F.shiftleft(F.col(c).cast("long"), 32).bitwiseOR(F.col(t).cast("long"))
+    met = met.select("fp", *words, pack("cell", "tile").alias("x"), pack("cell2", "tile2").alias("y"))
     dealt = met.select(
-        pack(F.when(lower, here).otherwise(there)).alias("p"),
-        pack(F.when(lower, there).otherwise(here)).alias("q"),
-        F.when(here == there, 0).when(lower, 1).otherwise(2).cast("byte").alias("side"),
+        F.least("x", "y").alias("p"),
+        F.greatest("x", "y").alias("q"),
+        F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2).cast("byte").alias("side"),
         "fp",
+        *words,
     )
 
     def compare(batches):
         held: list[np.ndarray] = []
 
-        def flush(rows: np.ndarray):
-            side, fp = rows["side"], rows["fp"].view(np.uint64)
+        def flush():
+            rows = np.concatenate(held)
+            side, fp = rows["side"], rows["fp"]
+            f = np.stack([rows[w].view(np.uint64) for w in words], axis=1)
             if side[0] == 0:
-                found = _stars(fp, None, radius)
+                u, v = _stars(f, None, radius, wide_radius)
             else:
-                a, b = fp[side == 1], fp[side == 2]
-                found = _stars(a, b, radius) if len(a) and len(b) else ()
-            yield from found
-
-        def out(found):
-            for u, v in found:
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
-
-        kind = np.dtype([("p", np.int64), ("q", np.int64), ("side", np.int8), ("fp", np.int64)])
+                a, b = side == 1, side == 2
+                if not a.any() or not b.any():
+                    return
+                u, v = _stars(f[a], f[b], radius, wide_radius)
+                fp = np.concatenate([fp[a], fp[b]])
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(fp[u]), pa.array(fp[v])], names=["u", "v"])
+
+        kind = np.dtype([("p", np.int64), ("q", np.int64), ("side", np.int8), ("fp", np.int64), *[(w, np.int64) for w in words]])
         for b in batches:
             rows = np.empty(b.num_rows, kind)
             for name in kind.names:
@@ -150,36 +187,38 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
             if not len(rows):
                 continue
             cut = np.flatnonzero((rows["p"][1:] != rows["p"][:-1]) | (rows["q"][1:] != rows["q"][:-1])) + 1
-            parts = np.split(rows, cut)
-            for part in parts:
+            for part in np.split(rows, cut):
                 if held and (held[-1]["p"][0], held[-1]["q"][0]) != (part["p"][0], part["q"][0]):
-                    yield from out(flush(np.concatenate(held)))
+                    yield from flush()
                     held = []
                 held.append(part)
         if held:
-            yield from out(flush(np.concatenate(held)))
+            yield from flush()
 
     return dealt.repartition("p", "q").sortWithinPartitions("p", "q").mapInArrow(compare, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, tile_rows=TILE_ROWS) -> DataFrame:
-    """doc_id, fp and component_id (the smallest id reachable) for every row of docs."""
-    fps = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    edges = written(links(nodes, radius, tile_rows), "simhash-links")
+def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, wide_radius: int | None = None, tile_rows: int | None = None) -> DataFrame:
+    """doc_id, key (hash of the text), f0 and component_id (the smallest id reachable) for every row of docs."""
+    wide = wide_radius is not None
+    fps = fingerprints(docs, id_col, text_col, shingle, wide)
+    words = [c for c in fps.columns if c[0] == "f"]
+    # a node is named by its word, or by a hash of its four
+    fps = written(fps.withColumn("fp", F.xxhash64(*words) if wide else F.col("f0")), "simhash")
+    nodes = written(fps.groupBy("fp", *words).agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    edges = written(links(nodes.drop("first"), radius, wide_radius, tile_rows), "simhash-links")
     roots = written(components(edges), "simhash-roots")
-    grouped = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     # nodes without links stand alone; for the others, the smallest id of the component
-    linked = grouped.filter("root is not null").join(roots.select(F.col("node").alias("fp")), "fp", "left_semi")
-    low = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = written(linked.join(low, "root").select(F.col("fp").alias("m"), F.col("component_id").alias("low")), "simhash-members")
+    linked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "first"), "simhash-linked")
+    low = linked.groupBy("root").agg(F.min("first").alias("low"))
+    member = linked.join(low, "root").select(F.col("fp").alias("m"), "low")
     forget(edges)
-    nodes = written(nodes.join(member, nodes["fp"] == member["m"], "left").select(F.col("fp").alias("n"), F.coalesce("low", "first").alias("component_id")), "simhash-nodes")
-    return fps.join(small(nodes, 20_000), fps["fp"] == nodes["n"]).select("doc_id", "fp", "component_id")
+    final = written(nodes.join(member, nodes["fp"] == member["m"], "left").select(F.col("fp").alias("n"), F.coalesce("low", "first").alias("component_id")), "simhash-members")
+    return fps.join(small(final, 20_000), fps["fp"] == final["n"]).select("doc_id", "key", "f0", "component_id")
 
 
 def op3_simhash(spark, sf_dir):
     """Every document with its fingerprint and the component of links at 2 bits or fewer."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = near_duplicates(docs)
-    return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return got.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
