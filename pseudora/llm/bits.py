@@ -139,7 +139,7 @@ class Reader:
     def ids(self, i: int) -> np.ndarray:
         lo, hi = int(self.firsts[i]), int(self.firsts[i + 1])
         parts = [self._block(k)[max(0, lo - k * self.block) : hi - k * self.block] for k in range(lo // self.block, -(-hi // self.block))]
-        return np.concatenate(parts) if len(parts) != 1 else parts[0]
+        return parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, np.uint32), *parts])
 
 
 def open_at(path: str):
@@ -168,8 +168,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABU
                 where.create_dir(at, recursive=True)
                 sink = where.open_output_stream(open_at(path)[1], compression=None)
                 writer = Writer(sink, width)
-            for doc_id, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                writer.add(doc_id, np.concatenate([np.frombuffer(enc.ids(t.as_py()), "<u4"), last]))
+            for doc_id, ids in zip(b.column(0).to_pylist(), enc.stream(t.as_py() for t in b.column(1)), strict=True):
+                writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), last]))
         if writer is not None:
             writer.close()
             sink.close()

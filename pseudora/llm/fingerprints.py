@@ -144,8 +144,7 @@ def neighbours(docs: DataFrame, id_col="doc_id", text_col="text", n_ranges: int
     placed = copies.select("doc_id", "text", "tie", F.explode(sent).alias("s")).select("s.bucket", "s.extra", "doc_id", "text", "tie")
     w = Window.partitionBy("bucket").orderBy("extra", F.col("doc_id").desc_nulls_last(), "tie")
     placed = placed.select("bucket", "extra", "doc_id", "text", F.row_number().over(w).alias("rn"), F.lead("text").over(w).alias("next_text"), F.lead("extra").over(w).alias("next_extra"))
-    # of equal rows at the head of a range each sent a copy: the first one serves
-    return placed.filter(~F.col("extra") | F.col("rn").isNotNull())
+    return placed
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -169,7 +168,9 @@ def fingerprinted(docs: DataFrame, id_col="doc_id", text_col="text", n_ranges: i
     array = lambda kind: F.when(F.col(f"s{kind}_0").isNotNull(), F.array(*[F.col(f"s{kind}_{i}") for i in range(n_longs)]))
     signs = signs.select(*keys, array(0).alias("own"), array(1).alias("changed"))
     facts = pairs.select(*keys, "extra", "doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"))
-    both = facts.join(signs, keys, "left")
+    # null-safe keys: no filter on nulls is pushed into one branch only, so both read the one shuffle of texts
+    signs = signs.select(F.col("bucket").alias("b2"), F.col("rn").alias("rn2"), "own", "changed")
+    both = facts.join(signs, F.col("bucket").eqNullSafe(F.col("b2")) & F.col("rn").eqNullSafe(F.col("rn2")), "left")
     w = Window.partitionBy("bucket").orderBy("rn")
     both = both.withColumn("following", F.lead("own").over(w)).filter(~F.col("extra"))
     return both.select(

@@ -166,8 +166,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", ca
         enc = encoder(tokenizer, drops_space=True)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, t in enumerate(b.column(1)):
-                ids = enc.ids(t.as_py()) + last
+            for i, ids in enumerate(enc.stream(t.as_py() for t in b.column(1))):
+                ids += last
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row.append(i)

@@ -1,12 +1,13 @@
 """Token ids of whole texts from a public tokenizer file, cached by stretch of text.
 
 A text is cut where white space begins, which no token of these tokenizers crosses, and
-every distinct stretch is encoded once by the library; a cache of bounded size holds its
-ids as bytes. Texts with white space beyond ASCII, where the cut could differ from the
+each new stretch is encoded by the library; a cache of bounded size holds the ids as
+bytes. Texts with white space beyond ASCII, where the cut could differ from the
 tokenizer's own rules, go through the library whole."""
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -16,40 +17,78 @@ _ODD_POINTS = [0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000
 _ODD = re.compile("[" + "".join(map(chr, _ODD_POINTS)) + "]")
 _STRETCH = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 #: Entries of the cache, and the longest stretch it keeps.
-CACHE, CACHED_CHARS = 400_000, 48
+CACHE, CACHED_CHARS = 600_000, 32
+#: Stretches joined for one call, and characters of texts that are cut at once.
+JOINED, GROUP_CHARS = 2000, 1_000_000
+_SPACES = " \t\n\r\x0b\x0c"
 
 
 class Encoder:
-    """ids(text) -> bytes: the ids as little-endian unsigned 32-bit integers.
+    """ids(texts) -> the ids of each text, as little-endian unsigned 32-bit integers.
 
-    drops_space says that the tokenizer drops white space, so that stretches are words."""
+    drops_space says that the tokenizer drops white space, so that stretches are words.
+    New stretches of many texts are joined to one text for the library, since a call for
+    each would cost more than the encoding; offsets tell whose the tokens are."""
 
     def __init__(self, path: str, drops_space: bool = False, cache: int = CACHE):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space, self.most, self.cache = drops_space, cache, {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _ODD.search(text):
-            return self._encode([text])[0]
-        parts = text.split() if self.drops_space else _STRETCH.findall(text)
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part; between two parts white space begins."""
+        gap = 1 if self.drops_space else 0
+        found = self.tokenizer.encode((" " * gap).join(parts), add_special_tokens=False)
+        starts = np.cumsum([0, *[len(p) + gap for p in parts]])
+        at = np.array([o[0] for o in found.offsets], np.int64)
+        cuts = 4 * np.searchsorted(at, starts)
+        raw = np.array(found.ids, "<u4").tobytes()
+        return [raw[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _new(self, parts: list[str]) -> dict[str, bytes]:
+        alone = [p for p in parts if not self.drops_space and (p[0] not in _SPACES or p[-1] in _SPACES)]
+        fresh = {p: self._whole(p) for p in alone}
+        rest = [p for p in parts if p not in fresh] if alone else parts
+        for k in range(0, len(rest), JOINED):
+            some = rest[k : k + JOINED]
+            fresh.update(zip(some, self._joined(some), strict=True))
+        return fresh
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        cut = [None if t is None or _ODD.search(t) else t.split() if self.drops_space else _STRETCH.findall(t) for t in texts]
         get = self.cache.get
-        found = [get(p) for p in parts]
-        if None in found:
-            new = list(dict.fromkeys(p for p, f in zip(parts, found, strict=True) if f is None))
-            fresh = dict(zip(new, self._encode(new), strict=True))
-            found = [fresh[p] if f is None else f for p, f in zip(parts, found, strict=True)]
-            if len(self.cache) + len(fresh) > self.most:
-                self.cache.clear()
-            self.cache.update((p, f) for p, f in fresh.items() if len(p) <= CACHED_CHARS)
-        return b"".join(found)
+        found = [None if c is None else [get(p) for p in c] for c in cut]
+        new = dict.fromkeys(p for c, f in zip(cut, found, strict=True) if f and None in f for p, x in zip(c, f, strict=True) if x is None)
+        fresh = self._new(list(new)) if new else {}
+        out = []
+        for t, c, f in zip(texts, cut, found, strict=True):
+            if c is None:
+                out.append(self._whole(t) if t else b"")
+            elif f and None in f:
+                out.append(b"".join([fresh[p] if x is None else x for p, x in zip(c, f, strict=True)]))
+            else:
+                out.append(b"".join(f))
+        if len(self.cache) + len(fresh) > self.most:
+            self.cache.clear()
+        self.cache.update((p, f) for p, f in fresh.items() if len(p) <= CACHED_CHARS)
+        return out
+
+    def stream(self, texts):
+        """ids() of an iterable of texts, in groups of bounded size."""
+        held, size = [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t or "") + 64
+            if size > GROUP_CHARS:
+                yield from self.ids(held)
+                held, size = [], 0
+        yield from self.ids(held)
 
 
 def encoder(path: str, drops_space: bool = False) -> Encoder:
