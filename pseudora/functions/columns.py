@@ -65,7 +65,8 @@ def pooled(kind: str, key: Column, pool: list[str]) -> Column:
     if not pool:
         return F.when(key.isNotNull(), F.lit(default))
     place = F.crc32(F.sha2(F.concat(F.lit(tag + "|"), key), 256).cast("binary")) % len(pool)
-    return F.element_at(F.array(*[F.lit(v) for v in pool]), (place + 1).cast("int"))
+    # element_at gives a value for a null place here, so a null key is told apart
+    return F.when(key.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in pool]), (place + 1).cast("int")))
 
 
 def phone(key: Column, width: int | None = None) -> Column:

@@ -379,7 +379,8 @@ class Engine:
         report = RunReport(self.run_id)
         try:
             self.log("run", "START", f"Run started, RunID={self.run_id}" + (f", batch size {batch_size}" if batch_size else ""))
-            if dangling and previous is not None and previous["salt_fingerprint"] != fingerprint(salt):
+            dropped_by = {r["run_id"] for r in self.own("fk_backup")}
+            if any(r["run_id"] in dropped_by and r["salt_fingerprint"] != fingerprint(salt) for r in runs):
                 self.stop("run", "an interrupted run used another salt; resume with the same one")
             if resuming:
                 self.log("run", "WARN", f"Resuming after an interrupted/failed run (previous status: {previous['status'] if previous else '?'}; FK constraints currently dropped: {dangling}).")
