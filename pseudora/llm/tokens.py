@@ -1,7 +1,8 @@
 """Token ids of whole texts from a public tokenizer file, cached by stretch of text.
 
-A text is cut where white space begins, which no token of these tokenizers crosses, and
-each new stretch is encoded by the library; a cache of bounded size holds the ids as
+A text is cut where white space begins, which no token of these tokenizers crosses; texts
+of Latin-1 without apostrophes also where letters begin or end, which none crosses there
+(apostrophes may join the letters that follow). Each new stretch is encoded by the library; a cache of bounded size holds the ids as
 bytes. Texts with white space beyond ASCII, where the cut could differ from the
 tokenizer's own rules, go through the library whole."""
 
@@ -15,9 +16,14 @@ import numpy as np
 #: White space, or what engines may count as such, beyond the six ASCII characters.
 _ODD_POINTS = [0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
 _ODD = re.compile("[" + "".join(map(chr, _ODD_POINTS)) + "]")
+#: Letters of Latin-1, as \\p{L} has them.
+_L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_BEYOND = re.compile("['\u0100-\U0010ffff]")
+_FINE = re.compile(rf"[ \t-\r]*(?:[{_L}]+|[^{_L} \t-\r]+)|[ \t-\r]+$")
+_FINE_WORDS = re.compile(rf"[{_L}]+|[^{_L} \t-\r]+")
 _STRETCH = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 #: Entries of the cache, and the longest stretch it keeps.
-CACHE, CACHED_CHARS = 600_000, 32
+CACHE, CACHED_CHARS = 1_000_000, 32
 #: Stretches joined for one call, and characters of texts that are cut at once.
 JOINED, GROUP_CHARS = 2000, 1_000_000
 _SPACES = " \t\n\r\x0b\x0c"
@@ -26,7 +32,7 @@ _SPACES = " \t\n\r\x0b\x0c"
 class Encoder:
     """ids(texts) -> the ids of each text, as little-endian unsigned 32-bit integers.
 
-    drops_space says that the tokenizer drops white space, so that stretches are words.
+    drops_space says that the tokenizer drops white space and case, so that stretches are words.
     New stretches of many texts are joined to one text for the library, since a call for
     each would cost more than the encoding; offsets tell whose the tokens are."""
 
@@ -36,7 +42,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.drops_space, self.most, self.cache = drops_space, cache, {}
+        # two generations: when the new one is full, the old one goes, and with it what was not used since
+        self.drops_space, self.most, self.cache, self.old = drops_space, cache, {}, {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -60,12 +67,22 @@ class Encoder:
             fresh.update(zip(some, self._joined(some), strict=True))
         return fresh
 
+    def _cut(self, text: str | None) -> list[str] | None:
+        """The stretches of a text; None if the library must take it whole."""
+        if text is None or _ODD.search(text):
+            return None
+        if _BEYOND.search(text):
+            return text.split() if self.drops_space else _STRETCH.findall(text)
+        # lower case of Latin-1 is the tokenizer's own, and needs no context
+        return _FINE_WORDS.findall(text.lower()) if self.drops_space else _FINE.findall(text)
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if t is None or _ODD.search(t) else t.split() if self.drops_space else _STRETCH.findall(t) for t in texts]
+        cut = [self._cut(t) for t in texts]
         get = self.cache.get
         found = [None if c is None else [get(p) for p in c] for c in cut]
         new = dict.fromkeys(p for c, f in zip(cut, found, strict=True) if f and None in f for p, x in zip(c, f, strict=True) if x is None)
-        fresh = self._new(list(new)) if new else {}
+        fresh = {p: self.old[p] for p in new if p in self.old}
+        fresh |= self._new([p for p in new if p not in fresh])
         out = []
         for t, c, f in zip(texts, cut, found, strict=True):
             if c is None:
@@ -74,8 +91,8 @@ class Encoder:
                 out.append(b"".join([fresh[p] if x is None else x for p, x in zip(c, f, strict=True)]))
             else:
                 out.append(b"".join(f))
-        if len(self.cache) + len(fresh) > self.most:
-            self.cache.clear()
+        if len(self.cache) + len(fresh) > self.most // 2:
+            self.old, self.cache = self.cache, {}
         self.cache.update((p, f) for p, f in fresh.items() if len(p) <= CACHED_CHARS)
         return out
 
