@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +19,27 @@ def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if int(str(estimate)) <= limit else df
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, and known by the optimizer to be none."""
+    columns = [c.split() for c in schema.split(", ")]
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
+
+
+def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir as the session has it; a folder of our own only in one process."""
     sc = spark.sparkContext
-    if not (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")):
+    at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")
+    if not at:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pseudora-"))
+        at = f"file://{tempfile.mkdtemp(prefix='pseudora-')}"
+        sc.setCheckpointDir(at)
+    return at.rstrip("/")
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df computed once, in the shared checkpoint folder, with its lineage cut."""
-    ensure_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df computed once, as a table in the shared folder: its lineage is cut, a lost executor
+    loses nothing, and the size of its files tells whether it can be broadcast."""
+    path = f"{shared_dir(df.sparkSession)}/pseudora-kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

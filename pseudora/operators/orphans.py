@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import norm
-from .common import sized
+from .common import empty, sized
 
 REPORT = "table_name string, column_name string, orphan_action string, orphan_value string, rows_with_value bigint"
 
@@ -30,7 +30,7 @@ def report(tables: dict[str, DataFrame], references: list[tuple[str, str, str]],
         for t, c, a in references if t in tables
     ]
     if not parts:
-        return mapping.sparkSession.createDataFrame([], REPORT)
+        return empty(mapping.sparkSession, REPORT)
     return reduce(DataFrame.unionByName, parts)
 
 

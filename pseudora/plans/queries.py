@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import discovery, integrity, mapping, orphans, preflight, rewrite, truncation, validation
+from ..operators.common import empty
 from .model import STRING_LIKE, EngineConfig
 
 SALT, WIDTH = "test-salt-001", 255
@@ -120,7 +121,7 @@ mo AS (SELECT * FROM m UNION ALL SELECT k, {sql_id("k")} FROM o WHERE k NOT IN (
 
 
 def no_mapping(spark) -> DataFrame:
-    return spark.createDataFrame([], mapping.MAPPING)
+    return empty(spark, mapping.MAPPING)
 
 
 def base_mapping(spark, sf, salt=SALT) -> DataFrame:

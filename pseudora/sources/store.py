@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.common import empty
+
 SCHEMAS = {
     "config": "config_id bigint, target_schema string, table_name string, column_name string, obfuscation_type string, static_value string, enabled boolean",
     "registry": "target_schema string, table_name string, column_name string, discovery_method string, constraint_name string, enabled boolean, orphan_action string",
@@ -53,7 +55,7 @@ class Store:
         """The newest complete version, or an empty table."""
         versions = self._versions(name)
         if not versions:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+            return empty(self.spark, SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}/v{versions[-1]}")
 
     def replace(self, name: str, df: DataFrame) -> None:

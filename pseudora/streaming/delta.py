@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import mapping, rewrite
-from ..operators.common import kept
+from ..operators.common import empty, kept
 
 
 def rewrite_stream(stream: DataFrame, columns: list[str], mapping_path: str, out_path: str, checkpoint: str, salt: str, max_len: int = 254):
@@ -22,10 +22,10 @@ def rewrite_stream(stream: DataFrame, columns: list[str], mapping_path: str, out
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = kept(batch)
         parts = [f"{mapping_path}/{i}" for i in range(batch_id)]
-        held = spark.createDataFrame([], mapping.MAPPING)
+        held = empty(spark, mapping.MAPPING)
         if parts:
             held = spark.read.schema(mapping.MAPPING).parquet(*parts)
-        new = spark.createDataFrame([], "v string")
+        new = empty(spark, "v string")
         for c in columns:
             new = new.union(batch.select(F.col(f"`{c}`").cast("string")))
         keys = mapping.unmapped(new, "v", held)
