@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
@@ -79,7 +81,7 @@ class Encoder:
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
         get = self.cache.get
-        found = [None if c is None else [get(p) for p in c] for c in cut]
+        found = [None if c is None else list(map(get, c)) for c in cut]
         new = dict.fromkeys(p for c, f in zip(cut, found, strict=True) if f and None in f for p, x in zip(c, f, strict=True) if x is None)
         fresh = {p: self.old[p] for p in new if p in self.old}
         fresh |= self._new([p for p in new if p not in fresh])
@@ -109,16 +111,15 @@ class Encoder:
 
 
 def encoder(path: str, drops_space: bool = False) -> Encoder:
-    """One encoder a worker process and file."""
-    held = _HELD
+    """One encoder a worker process and file, which later tasks of the process find warm.
+
+    It hangs on a module of its own: globals here travel with each task and start empty."""
+    held = sys.modules.setdefault("pseudora_worker_encoders", types.ModuleType("pseudora_worker_encoders")).__dict__
     if (path, drops_space) not in held:
         held[path, drops_space] = Encoder(path, drops_space)
     return held[path, drops_space]
 
 
-_HELD: dict = {}
-
-
 def public(name: str) -> str:
     import public_tokenizers
 
