@@ -1,8 +1,10 @@
 """The pipeline's stages on their own inputs, against brute force."""
 
+import numbers
 import os
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,5 +88,9 @@ def test_against_sql(spark, name):
     got, want = QUERIES[name](spark, SF).toPandas(), c.sql(ORACLES[name]).df()
     names = sorted(got.columns)
     assert names == sorted(want.columns)
-    listed = lambda d: sorted(tuple("~" if v is None or v != v else str(v) for v in r) for r in d[names].itertuples(index=False))
+
+    def cell(v):
+        return "~" if pd.isna(v) else str(float(v)) if isinstance(v, numbers.Number) else str(v)
+
+    listed = lambda d: sorted(tuple(map(cell, r)) for r in d[names].itertuples(index=False))
     assert listed(got) == listed(want)
