@@ -11,6 +11,10 @@ in numpy. Cells of many nodes are split into tiles of bounded size, so no task h
 unbounded group, and a pair of tiles emits a star for each group that it links, never all
 pairs. In the wide form pairs must also lie within `wide_radius` bits of all 256.
 
+The wide form takes each shingle once, names nodes by their set of shingles, and links only
+candidates: what they connect is compared again, in tiles of each group, by the Jaccard
+similarity of the sets of shingles (as their 64-bit hashes), and links at SIMILARITY or more.
+
 Exact comparison of all tiles is quadratic in the number of distinct fingerprints; quarters
 keep about one pair in seventy at radius 2, the wide form nearly all.
 
@@ -36,28 +40,38 @@ SHINGLE, RADIUS, SEED = 3, 2, 42
 TILE_ROWS = 4096
 WIDE_TILE_ROWS = 1 << 16
 _SLAB = 1 << 15
-#: The wide form: five-word shingles and a similarity of 0.8 or more, as the fingerprints
-#: tell it. At Jaccard 0.8 the cosine of two sets of one size is 8/9, which differs in 0.15
-#: of the bits: 39 of 256, and 10 of 64, where two deviations of room keep the candidates.
-WIDE = {"shingle": 5, "radius": 14, "wide_radius": 38}
+#: The wide form: candidates for five-word shingles at a similarity of 0.8 or more. At
+#: Jaccard 0.8 the cosine of two sets of one size is 8/9, which differs in 0.15 of the bits:
+#: 38.8 of 256 and 9.7 of 64, to which the radii add about three deviations (5.7 and 2.9).
+WIDE = {"shingle": 5, "radius": 18, "wide_radius": 56}
+#: Jaccard similarity that links candidates, as a fraction.
+SIMILARITY = (4, 5)
+#: Texts of a tile of a group in which candidates are compared by their shingles.
+GROUP_ROWS = 512
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, wide: bool = False) -> list[int]:
-    """The words of the fingerprint: one, or four in the wide form."""
+def shingled(text: str | None, shingle: int) -> np.ndarray:
+    """The hashes of a text's word shingles, one for each place."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    k = 4 if wide else 1
     if not words:
-        return [0] * k
+        return np.empty(0, np.uint64)
     n = max(1, len(words) - shingle + 1)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[: n - 1].tolist()]
     stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+
+
+def _words(hashes: np.ndarray, k: int) -> list[int]:
+    n = len(hashes)
+    if not n:
+        return [0] * k
     ones = np.zeros((k, 64), np.int64)
     for at in range(0, n, _SLAB):
-        h = np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[at : at + _SLAB], stops[at : at + _SLAB], strict=True)), np.uint64)
+        h = hashes[at : at + _SLAB]
         for i in range(k):
             x = h
             if i:
@@ -67,20 +81,31 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, wide: bool = False) ->
     return np.packbits(ones * 2 > n, axis=1, bitorder="little").reshape(-1).view("<u8").tolist()
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, wide: bool = False) -> list[int]:
+    """The words of the fingerprint: one, or four and a hash of the set of shingles in the wide form."""
+    h = shingled(text, shingle)
+    if not wide:
+        return _words(h, 1)
+    h = np.unique(h)
+    return [*_words(h, 4), xxhash.xxh64_intdigest(h.tobytes(), SEED)]
+
+
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
-    """doc_id, key (hash of the text) and f0.. : the words of every whole text's fingerprint, as signed longs."""
-    k = 4 if wide else 1
+    """doc_id, key (hash of the text), f0.. : the words of every whole text's fingerprint, as
+    signed longs; fp, which names its node: the word, or the hash of the set of shingles."""
+    names = ["f0", "f1", "f2", "f3", "fp"] if wide else ["f0"]
 
     def run(batches):
         for b in batches:
-            got = np.array([fingerprint(t.as_py(), shingle, wide) for t in b.column(2)], np.uint64).reshape(-1, k).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(got[:, i].copy()) for i in range(k)]], names=["doc_id", "key", *[f"f{i}" for i in range(k)]])
+            got = np.array([fingerprint(t.as_py(), shingle, wide) for t in b.column(2)], np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(got[:, i].copy()) for i in range(len(names))]], names=["doc_id", "key", *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text")).mapInArrow(
-        run, f"doc_id {kind}, key bigint, " + ", ".join(f"f{i} bigint" for i in range(k))
+    made = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text")).mapInArrow(
+        run, f"doc_id {kind}, key bigint, " + ", ".join(f"{n} bigint" for n in names)
     )
+    return made if wide else made.withColumn("fp", F.col("f0"))
 
 
 def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, same: bool):
@@ -198,23 +223,104 @@ def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None
     return dealt.repartition("p", "q").sortWithinPartitions("p", "q").mapInArrow(compare, "u bigint, v bigint")
 
 
+def _alike(sets: list[np.ndarray], f: np.ndarray, wide_radius: int, side: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (i, j) that connect all within wide_radius whose sets are as like as SIMILARITY.
+
+    side is 0 where all pairs count, else those of a 1 and a 2. Pairs that others connect are not compared."""
+    num, den = SIMILARITY
+    size = np.array([len(x) for x in sets], np.int64)
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for i in range(len(sets)):
+        fits = (den * np.minimum(size[:i], size[i]) >= num * np.maximum(size[:i], size[i])) & ((side[:i] == 0) | (side[:i] != side[i]))
+        js = np.flatnonzero(fits)
+        apart = np.bitwise_count(f[js] ^ f[i]).sum(axis=1, dtype=np.int64)
+        order = np.argsort(apart, kind="stable")
+        for j in js[order[apart[order] <= wide_radius]].tolist():
+            p, q = root(i), root(j)
+            if p == q:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if den * both >= num * int(size[i] + size[j] - both):
+                parent[max(p, q)] = min(p, q)
+                out.append((i, j))
+    return out
+
+
+def confirmed(texts: DataFrame, shingle: int, wide_radius: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Edges (u, v) that connect all pairs of a group (fp, root, f0.., text) which are as like as SIMILARITY.
+
+    A group is dealt in pairs of tiles of bounded size, as in links()."""
+    words = [c for c in texts.columns if c[0] == "f" and c != "fp"]
+    tiles = written(texts.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(group_rows))).cast("int").alias("tiles")), "simhash-groups")
+    tile = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
+    met = texts.join(small(tiles), "root").withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = met.select(
+        "root", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"),
+        F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2).cast("int").alias("side"), "fp", *words, "text",
+    )
+
+    def compare(batches):
+        at, held = None, []
+
+        def flush():
+            if len(held) < 2:
+                return
+            sets = [np.unique(shingled(h[2], shingle)) for h in held]
+            got = _alike(sets, np.array([h[3:] for h in held], np.int64).view(np.uint64), wide_radius, np.array([h[0] for h in held]))
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array([held[k[x]][1] for k in got], pa.int64()) for x in (0, 1)], names=["u", "v"])
+
+        for b in batches:
+            rows = [b.column(c).to_pylist() for c in ("root", "p", "q", "side", "fp", "text", *words)]
+            for root, p, q, *rest in zip(*rows, strict=True):
+                if (root, p, q) != at:
+                    yield from flush()
+                    at, held = (root, p, q), []
+                held.append(rest)
+        yield from flush()
+
+    return dealt.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q").mapInArrow(compare, "u bigint, v bigint")
+
+
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, wide_radius: int | None = None, tile_rows: int | None = None) -> DataFrame:
-    """doc_id, key (hash of the text), f0 and component_id (the smallest id reachable) for every row of docs."""
+    """doc_id, key (hash of the text), f0, component_id (the smallest id reachable) and root
+    (the name of the component, which ids that are null or stand twice leave apart) for every row of docs."""
     wide = wide_radius is not None
-    fps = fingerprints(docs, id_col, text_col, shingle, wide)
-    words = [c for c in fps.columns if c[0] == "f"]
-    # a node is named by its word, or by a hash of its four
-    fps = written(fps.withColumn("fp", F.xxhash64(*words) if wide else F.col("f0")), "simhash")
-    nodes = written(fps.groupBy("fp", *words).agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    edges = written(links(nodes.drop("first"), radius, wide_radius, tile_rows), "simhash-links")
+    fps = written(fingerprints(docs, id_col, text_col, shingle, wide), "simhash")
+    words = [c for c in fps.columns if c[0] == "f" and c != "fp"]
+    nodes = written(fps.groupBy("fp", *words).agg(F.min("doc_id").alias("first"), F.min("key").alias("sample")), "simhash-nodes")
+    edges = written(links(nodes.drop("first", "sample"), radius, wide_radius, tile_rows), "simhash-links")
     roots = written(components(edges), "simhash-roots")
+    if wide:
+        # one text of each node that has candidates
+        asked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "sample", *words), "simhash-asked")
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        told = docs.select(F.xxhash64(text).alias("told"), text.alias("text")).join(small(asked), F.col("told") == F.col("sample"))
+        texts = written(told.groupBy("fp", "root", *words).agg(F.first("text").alias("text")), "simhash-texts")
+        forget(edges)
+        edges = written(confirmed(texts, shingle, wide_radius), "simhash-confirmed")
+        forget(texts)
+        roots = written(components(edges), "simhash-roots")
     # nodes without links stand alone; for the others, the smallest id of the component
     linked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "first"), "simhash-linked")
     low = linked.groupBy("root").agg(F.min("first").alias("low"))
-    member = linked.join(low, "root").select(F.col("fp").alias("m"), "low")
+    member = linked.join(low, "root").select(F.col("fp").alias("m"), "low", "root")
     forget(edges)
-    final = written(nodes.join(member, nodes["fp"] == member["m"], "left").select(F.col("fp").alias("n"), F.coalesce("low", "first").alias("component_id")), "simhash-members")
-    return fps.join(small(final, 20_000), fps["fp"] == final["n"]).select("doc_id", "key", "f0", "component_id")
+    final = written(
+        nodes.join(member, nodes["fp"] == member["m"], "left").select(
+            F.col("fp").alias("n"), F.coalesce("low", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
+        ),
+        "simhash-members",
+    )
+    return fps.join(small(final, 20_000), fps["fp"] == final["n"]).select("doc_id", "key", "f0", "component_id", "root")
 
 
 def op3_simhash(spark, sf_dir):

@@ -94,3 +94,24 @@ def test_against_sql(spark, name):
 
     listed = lambda d: sorted(tuple(map(cell, r)) for r in d[names].itertuples(index=False))
     assert listed(got) == listed(want)
+
+
+def test_near_dedup_links_at_similarity_of_four_fifths(spark):
+    """300 words of their own a pair, k of them changed: 6 leave a Jaccard of 266/326, 7 one of 261/331."""
+    rows = []
+    for pair in range(80):
+        words = [f"p{pair}w{i}" for i in range(300)]
+        other = [f"{w}x" if i % 40 == 20 and i // 40 < 6 + pair % 2 else w for i, w in enumerate(words)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(other))]
+    out = P.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), None)
+    assert sorted(r["doc_id"] for r in out.collect()) == [d for d, _ in rows if d % 4 != 1]
+
+
+def test_large_groups_are_compared_in_tiles(spark):
+    from pseudora.llm import simhash
+
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, 1, 0, 0, 0, 0, " ".join(["x"] * (i % 3) + words[: 180 + i // 3])) for i in range(60)]
+    texts = spark.createDataFrame(rows, "fp bigint, root bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint, text string")
+    got = simhash.components(simhash.confirmed(texts, 5, 56, 7)).collect()
+    assert len(got) == 60 and {r["root"] for r in got} == {0}
