@@ -61,7 +61,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all pieces of all documents."""
-    return packing.pack(docs)
+    return packing.pack(docs, specials=True)
 
 
 STAGES = [

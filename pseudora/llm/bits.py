@@ -149,7 +149,7 @@ def open_at(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABULARY, end=END, id_col="doc_id", text_col="text", shards: int | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABULARY, end=END, id_col="doc_id", text_col="text", shards: int | None = None, specials=False) -> DataFrame:
     """Writes whole texts in ascending id order; returns the manifest: shard, path,
     n_docs, n_tokens, start (ids in all shards before). One shuffle, of the texts."""
     spark = docs.sparkSession
@@ -160,7 +160,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABU
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        enc, writer, last = encoder(tokenizer), None, np.array([end], np.uint32)
+        enc, writer, last = encoder(tokenizer, specials=specials), None, np.array([end], np.uint32)
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.bits"
         for b in batches:
             if writer is None and b.num_rows:
@@ -217,4 +217,4 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 def op9_token_ids(spark, sf_dir):
     """Every document's place and checksum, read back from the shards that were written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return read_shards(write_shards(docs, new_path(spark, "tokens"), public(TOKENIZER)))
+    return read_shards(write_shards(docs, new_path(spark, "tokens"), public(TOKENIZER), specials=True))

@@ -158,12 +158,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[int, np.ndarr
     return {x: np.array(rows, np.int64) for x, rows in out.items()}
 
 
-def pieces(docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", capacity=CAPACITY, end=END) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", capacity=CAPACITY, end=END, specials=False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every whole text."""
     last = np.array([end], "<u4").tobytes()
 
     def run(batches):
-        enc = encoder(tokenizer, drops_space=True)
+        enc = encoder(tokenizer, drops_space=True, specials=specials)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(enc.stream(t.as_py() for t in b.column(1))):
@@ -226,4 +226,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
 def op7_best_fit_packing(spark, sf_dir):
     """Every piece of every document with its place in the packed sequences."""
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), specials=True)

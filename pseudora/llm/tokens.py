@@ -4,7 +4,11 @@ A text is cut where white space begins, which no token of these tokenizers cross
 of Latin-1 without apostrophes also where letters begin or end, which none crosses there
 (apostrophes may join the letters that follow). Each new stretch is encoded by the library; a cache of bounded size holds the ids as
 bytes. Texts with white space beyond ASCII, where the cut could differ from the
-tokenizer's own rules, go through the library whole."""
+tokenizer's own rules, go through the library whole.
+
+With `specials`, as the registered queries and the pipeline have it, the literal of an added
+token such as <|endoftext|> is that token, by the library's default; texts that contain one
+go through the library whole. Without, literals are text like any other."""
 
 from __future__ import annotations
 
@@ -34,16 +38,21 @@ _SPACES = " \t\n\r\x0b\x0c"
 class Encoder:
     """ids(texts) -> the ids of each text, as little-endian unsigned 32-bit integers.
 
-    drops_space says that the tokenizer drops white space and case, so that stretches are words.
+    drops_space says that the tokenizer drops white space and case, so that stretches are words;
+    specials, that literals of added tokens are these tokens.
     New stretches of many texts are joined to one text for the library, since a call for
     each would cost more than the encoding; offsets tell whose the tokens are."""
 
-    def __init__(self, path: str, drops_space: bool = False, cache: int = CACHE):
+    def __init__(self, path: str, drops_space: bool = False, cache: int = CACHE, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not specials
+        # in any case, as some are looked for in normalised text; the library decides
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content] if specials else []
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.heads = {h for t in added for h in (t[0].lower(), t[0].upper())}
         # two generations: when the new one is full, the old one goes, and with it what was not used since
         self.drops_space, self.most, self.cache, self.old = drops_space, cache, {}, {}
 
@@ -73,6 +82,8 @@ class Encoder:
         """The stretches of a text; None if the library must take it whole."""
         if text is None or _ODD.search(text):
             return None
+        if self.added and any(h in text for h in self.heads) and self.added.search(text):
+            return None
         if _BEYOND.search(text):
             return text.split() if self.drops_space else _STRETCH.findall(text)
         # lower case of Latin-1 is the tokenizer's own, and needs no context
@@ -110,14 +121,14 @@ class Encoder:
         yield from self.ids(held)
 
 
-def encoder(path: str, drops_space: bool = False) -> Encoder:
+def encoder(path: str, drops_space: bool = False, specials: bool = False) -> Encoder:
     """One encoder a worker process and file, which later tasks of the process find warm.
 
     It hangs on a module of its own: globals here travel with each task and start empty."""
     held = sys.modules.setdefault("pseudora_worker_encoders", types.ModuleType("pseudora_worker_encoders")).__dict__
-    if (path, drops_space) not in held:
-        held[path, drops_space] = Encoder(path, drops_space)
-    return held[path, drops_space]
+    if (path, drops_space, specials) not in held:
+        held[path, drops_space, specials] = Encoder(path, drops_space, specials=specials)
+    return held[path, drops_space, specials]
 
 
 def public(name: str) -> str:

@@ -231,3 +231,39 @@ def test_bundle_seeks_one_record(tmp_path):
             assert headers["WARC-Record-ID"] == rid and block in raws[rid]
     whole = zstandard.ZstdDecompressor().stream_reader((tmp_path / "x.bin").open("rb"), read_across_frames=True).read()
     assert whole == b"".join(raws.values())
+
+
+# -- literals of added tokens ------------------------------------------------------------------
+
+
+def by_default(name):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda x: t.encode(x or "", add_special_tokens=False).ids
+
+
+LITERALS = ["a <|endoftext|> b", "x<|endoftext|>y <|startoftext|>", "<|ENDOFTEXT|> up", "<|endof text|>", "it's\u00a0<|endoftext|>", "<|end", "oftext|>"]
+
+
+@pytest.mark.parametrize("name,drops", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_literals_are_tokens_by_the_librarys_default(texts, name, drops):
+    enc, ids = tokens.Encoder(public_tokenizers.path(name), drops, cache=50, specials=True), by_default(name)
+    every = [*texts, *ODD, *LITERALS, *ODD, *LITERALS]
+    for t, got in zip(every, enc.stream(every), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == ids(t), t
+
+
+def test_queries_encode_literals_by_the_librarys_default(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(list(enumerate(LITERALS)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+
+    def want(name, end):
+        ids = by_default(name)
+        return {i: zlib.crc32(np.array([*ids(t), end], "<u4").tobytes()) for i, t in enumerate(LITERALS)}
+
+    for got in (packing.op7_best_fit_packing(spark, tmp_path), corpus_pipeline.packing_stage(spark, docs, None)):
+        assert {r["doc_id"]: r["ids_crc32"] for r in got.collect()} == want(packing.TOKENIZER, packing.END)
+    assert {r["doc_id"]: r["ids_crc32"] for r in bits.op9_token_ids(spark, tmp_path).collect()} == want(bits.TOKENIZER, bits.END)
