@@ -641,6 +641,23 @@ def _(spark, sf):
     return part.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(pairs, ";"), 256).alias("fingerprint"))
 
 
+_HASHES = "('0x' || substr(md5(original_user_id || '=' || obfuscated_user_id), {}, 15))::BIGINT"
+
+
+def mapping_fingerprint(m: DataFrame) -> DataFrame:
+    """One row for a whole mapping: rows, and sums of two hashes of each, which combine before
+    the shuffle and do not depend on the order."""
+    pair = F.md5(F.concat("original_user_id", F.lit("="), "obfuscated_user_id").cast("binary"))
+    total = lambda at: F.coalesce(F.sum(F.conv(F.substring(pair, at, 15), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("string")
+    return m.agg(F.count(F.lit(1)).alias("n"), total(1).alias("low"), total(16).alias("high"))
+
+
+@query("table_fingerprint_whole", f"WITH {U}, {M} SELECT count(*) AS n, CAST(coalesce(sum({_HASHES.format(1)}), 0) AS VARCHAR) AS low, CAST(coalesce(sum({_HASHES.format(16)}), 0) AS VARCHAR) AS high FROM m")
+def _(spark, sf):
+    """The fingerprint of the whole mapping, where table_fingerprint takes the ids below 200."""
+    return mapping_fingerprint(base_mapping(spark, sf))
+
+
 # -- the whole run --------------------------------------------------------------------------------
 
 

@@ -40,3 +40,18 @@ def test_plans_stay_native_and_pruned(spark):
     plan = QUERIES["lineitem_reference_rewrite"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert "BroadcastHashJoin" in plan and "l_comment" not in plan
+
+
+def test_whole_fingerprint_sees_every_row(spark):
+    from pyspark.sql import functions as F
+
+    from pseudora.plans.queries import base_mapping, mapping_fingerprint
+
+    m = base_mapping(spark, SF).cache()
+    last = m.agg(F.max("original_user_id")).first()[0]
+    changed = m.withColumn("obfuscated_user_id", F.when(F.col("original_user_id") == last, "x").otherwise(F.col("obfuscated_user_id")))
+    whole = mapping_fingerprint(m).first()
+    assert whole["n"] == m.count() and QUERIES["table_fingerprint_whole"](spark, SF).first() == whole
+    assert mapping_fingerprint(m.repartition(7)).first() == whole
+    assert mapping_fingerprint(changed).first() != whole
+    assert mapping_fingerprint(m.filter(F.col("original_user_id") != last)).first() != whole
