@@ -29,19 +29,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group that five-word shingles show as near copies.
 
-    Of rows equal in id and text one stays; of different texts under the smallest id, that
-    with the smallest hash."""
+    Of rows equal in id and text one stays; of different texts of a group under the smallest
+    id, that with the smallest hash. Groups are apart even where their ids are null or equal."""
     groups = written(simhash.near_duplicates(docs, **simhash.WIDE), "dedup")
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id").alias("dedup__id")).agg(
-        F.min("key").alias("dedup__key"), F.count(F.lit(1)).alias("n")
-    )
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = first.groupBy("root", F.col("component_id").alias("dedup__id")).agg(F.min("key").alias("dedup__key"), F.count(F.lit(1)).alias("n"))
     keep = written(keep, "dedup-keep")
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     kept = docs.join(
         keep.select("dedup__id", "dedup__key"), docs["doc_id"].eqNullSafe(F.col("dedup__id")) & (key == F.col("dedup__key")), "left_semi"
     )
     if not keep.filter("n > 1").isEmpty():  # ids that stand on several rows
-        kept = kept.dropDuplicates(["doc_id", "text"])
+        kept = kept.withColumn("dedup__key", key).dropDuplicates(["doc_id", "dedup__key"])
     return kept.select(*docs.columns)
 
 

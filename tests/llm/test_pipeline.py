@@ -115,3 +115,11 @@ def test_large_groups_are_compared_in_tiles(spark):
     texts = spark.createDataFrame(rows, "fp bigint, root bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint, text string")
     got = simhash.components(simhash.confirmed(texts, 5, 56, 7)).collect()
     assert len(got) == 60 and {r["root"] for r in got} == {0}
+
+
+def test_near_dedup_keeps_groups_apart_whose_ids_are_null_or_shared(spark):
+    text = lambda p: " ".join(f"{p}{i}" for i in range(100))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, text("c")), (4, text("d")), (4, text("e")), (4, text("e").upper()), (5, text("c")), (6, None), (6, "")]
+    out = P.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), None)
+    got = [(r["doc_id"], (r["text"] or "")[:1].lower()) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([(None, "a"), (None, "b"), (5, "c"), (4, "d"), (4, "e"), (6, "")], key=str)
