@@ -15,8 +15,10 @@ Any document is read by its first token: block = first // BLOCK, then numpy shif
 their own; only shards named in the committed manifest count, so repeated or lost tasks
 leave nothing that is read.
 
-Defined results: null and empty texts have the end id alone; null document ids come first;
-repeated rows are written as often as they stand; an empty table gives no shards."""
+Defined results: null and empty texts have the end id alone; texts of any length are written
+whole, one text's ids in memory at a time; null document ids come first; rows equal in id are
+ordered by a hash of their text; repeated rows are written as often as they stand; an empty
+table gives no shards; an id that the width cannot hold is an error, not another id."""
 
 from __future__ import annotations
 
@@ -29,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import new_path, written
+from .common import held, new_path, scratch, text_batches, written
 from .tokens import encoder, public
 
-TOKENIZER, VOCABULARY, END = "byte_bpe_50k.json", 50257, 2
+TOKENIZER, END = "byte_bpe_50k.json", 2
 BLOCK = 1 << 16
 MAGIC = b"PSBITS01"
 FOOTER = "<IIQQQQ8s"
@@ -95,6 +97,8 @@ class Writer:
             self.held, self.n_held = [all_[whole:]], len(all_) - whole
 
     def _put(self, ids: np.ndarray) -> None:
+        if int(ids.max()) >> self.width:
+            raise ValueError(f"token id {int(ids.max())} does not fit {self.width} bits")
         raw = pack(ids, self.width)
         self.sink.write(raw)
         self.at += len(raw)
@@ -143,24 +147,40 @@ class Reader:
 
 
 def open_at(path: str):
-    """The file system and path of a URI: local, HDFS or an object store."""
+    """The pyarrow file system and path of a URI as Spark has it; new_path() gives a scheme."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    scheme, _, rest = path.partition(":")
+    if scheme in ("s3a", "s3n"):
+        path = f"s3:{rest}"
+    elif scheme == "dbfs":  # mounted on every node
+        path = f"file:///dbfs/{rest.lstrip('/')}"
+    elif scheme == "file":
+        path = f"file:///{rest.lstrip('/')}"
+    elif path.startswith("/"):
+        raise ValueError(f"{path}: which file system? Give a scheme, as new_path() does")
+    return fs.FileSystem.from_uri(path)
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABULARY, end=END, id_col="doc_id", text_col="text", shards: int | None = None, specials=False) -> DataFrame:
+def vocabulary_of(tokenizer: str) -> int:
+    """Ids of a tokenizer file, added tokens included."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(tokenizer).get_vocab().values()) + 1
+
+
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int | None = None, end=END, id_col="doc_id", text_col="text", shards: int | None = None, specials=False) -> DataFrame:
     """Writes whole texts in ascending id order; returns the manifest: shard, path,
     n_docs, n_tokens, start (ids in all shards before). One shuffle, of the texts."""
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = width_of(vocabulary)
+    width = width_of(max(vocabulary or vocabulary_of(tokenizer), end + 1))
 
     def run(batches):
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        enc, writer, last = encoder(tokenizer, specials=specials), None, np.array([end], np.uint32)
+        enc, writer, last = encoder(tokenizer, specials=specials), None, struct.pack("<I", end)
         path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.bits"
         for b in batches:
             if writer is None and b.num_rows:
@@ -169,7 +189,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABU
                 sink = where.open_output_stream(open_at(path)[1], compression=None)
                 writer = Writer(sink, width)
             for doc_id, ids in zip(b.column(0).to_pylist(), enc.stream(t.as_py() for t in b.column(1)), strict=True):
-                writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), last]))
+                writer.add(doc_id, np.frombuffer(ids + last, "<u4"))
         if writer is not None:
             writer.close()
             sink.close()
@@ -182,9 +202,10 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, vocabulary=VOCABU
     # equal ids are ordered, and may be parted, by a hash of their text
     order = ["doc_id", F.xxhash64("text")]
     made = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(run, "shard int, path string, n_docs bigint, n_tokens bigint")
-    made = written(made, "manifest")
+    with text_batches(spark):
+        made = written(made, "manifest")
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # one row a shard
-    return written(made.withColumn("start", F.coalesce(before, F.lit(0)).cast("bigint")), "manifest")
+    return written(made.withColumn("start", F.coalesce(before, F.lit(0)).cast("bigint")), "manifest", rows=n)
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -199,7 +220,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     docs = len(r.doc_ids)
                     for lo in range(0, docs, 4096):
                         hi = min(docs, lo + 4096)
-                        crc = [zlib.crc32(r.ids(i).astype("<u4").tobytes()) for i in range(lo, hi)]
+                        crc = [zlib.crc32(r.ids(i).astype("<u4", copy=False)) for i in range(lo, hi)]
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(r.doc_ids[lo:hi], mask=r.nulls[lo:hi].astype(bool)),
@@ -217,4 +238,10 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 def op9_token_ids(spark, sf_dir):
     """Every document's place and checksum, read back from the shards that were written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return read_shards(write_shards(docs, new_path(spark, "tokens"), public(TOKENIZER), specials=True))
+    with scratch() as keep:
+        folder = new_path(spark, "tokens")
+        manifest = write_shards(docs, folder, public(TOKENIZER), specials=True)
+        keep(manifest)
+        got = read_shards(manifest)
+    held(spark, folder)
+    return got

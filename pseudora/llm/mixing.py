@@ -6,9 +6,10 @@ that the source's remaining budget sets. The threshold is found without sorting:
 sizes are summed by source and hash bucket, the running sum shows in which bucket
 the budget ends, and only that bucket is refined, level by level, until it holds one
 hash value. Only sums by (source, bucket) are shuffled, after partial aggregation,
-so a hot source costs no more than others.
+so a hot source costs no more than others: a task adds up at most 2^LEVEL_BITS buckets of a
+source, whatever the input. Sources are ranked in ranges, as there may be many.
 
-Defined results: null text counts 0 words; a null source is a source of its own, last
+Defined results: null text counts 0 words; texts of any length are counted whole; a null source is a source of its own, last
 in order; sources of size 0 have target 0; rows equal in document id and source share
 a hash and are taken together; empty tables give empty results.
 """
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, written
+from .common import WORD, scratch, small, written
 
 #: Weights, by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -28,6 +29,8 @@ SHARE_NUM, SHARE_DEN = 3, 2
 MOST = 2
 #: Hashes have 60 bits, of which each level of the histogram resolves so many.
 HASH_BITS, LEVEL_BITS = 60, 12
+#: Sources that one task ranks, about.
+RANGE_ROWS = 50_000
 
 
 def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", seed="mix") -> DataFrame:
@@ -41,17 +44,28 @@ def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
     )
 
 
+def ranked(per_source: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """per_source with `rank`, from 0, in order of the source, null last: ranges are ranked
+    each by itself, and their counts added up."""
+    order = F.col("source").asc_nulls_last()
+    parts = -(-max(per_source.count(), 1) // range_rows)
+    held = written(per_source.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()), "mix-ranges")
+    counts = held.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row a range
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = written(counts.select("part", before.cast("long").alias("before")), "mix-ranges", rows=parts)
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return held.withColumn("rank", inside).join(small(counts), "part").withColumn("rank", F.col("rank") + F.col("before")).drop("part", "before")
+
+
 def targets(per_source: DataFrame, weights=WEIGHTS, num=SHARE_NUM, den=SHARE_DEN, most=MOST) -> DataFrame:
     """source, source_size, target for a table (source, source_size).
 
     The budget is dealt by weight; sources above `most` times their size stop there and
     their excess is dealt anew among the others, until none is above. The loop brings two
     sums to the driver a round; the per-source table itself stays distributed."""
-    ranked = per_source.withColumn(
-        "w",
-        F.get(F.array(*[F.lit(int(w)) for w in weights]), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)).cast("int")).cast("long"),
-    ).withColumn("full", F.lit(False))
-    now = written(ranked, "mix-sources")
+    weight = F.get(F.array(*[F.lit(int(w)) for w in weights]), (F.col("rank") % len(weights)).cast("int")).cast("long")
+    per_source = ranked(per_source).withColumn("w", weight).drop("rank").withColumn("full", F.lit(False))
+    now = written(per_source, "mix-sources")
     total = int(now.agg(F.sum("source_size")).first()[0] or 0)
     while True:
         left = now.filter("NOT full").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).first()
@@ -122,19 +136,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, num=SHARE_NUM, den=SHARE_DEN, most=MOS
     """doc_id, source, size, source_size, target, copies, taken: one row per document.
 
     Threshold joins go by source, whose table is broadcast only after its rows are counted."""
-    sized = written(sizes(docs, seed=seed, **cols), "mix-sizes")
-    per = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    aims = written(targets(per, weights, num, den, most), "mix-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    plan = aims.withColumn("times", whole).withColumn("extra", F.col("target") - F.col("times") * F.col("source_size"))
-    cuts = thresholds(sized, plan.select("source", "extra")).withColumnRenamed("source", "s2")
-    plan = written(plan.join(cuts, F.col("source").eqNullSafe(F.col("s2"))).select(F.col("source").alias("s"), "source_size", "target", "times", "cut"), "mix-plan")
-    copies = (F.col("times") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)).cast("long")
-    return (
-        sized.join(small(plan), F.col("source").eqNullSafe(F.col("s")))
-        .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-    )
+    with scratch() as keep:
+        sized = written(sizes(docs, seed=seed, **cols), "mix-sizes")
+        per = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+        aims = written(targets(per, weights, num, den, most), "mix-targets")
+        whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+        plan = aims.withColumn("times", whole).withColumn("extra", F.col("target") - F.col("times") * F.col("source_size"))
+        cuts = thresholds(sized, plan.select("source", "extra")).withColumnRenamed("source", "s2")
+        plan = written(plan.join(cuts, F.col("source").eqNullSafe(F.col("s2"))).select(F.col("source").alias("s"), "source_size", "target", "times", "cut"), "mix-plan")
+        keep(sized, plan)
+        copies = (F.col("times") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0)).cast("long")
+        return (
+            sized.join(small(plan), F.col("source").eqNullSafe(F.col("s")))
+            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+            .withColumn("taken", F.col("copies") * F.col("size"))
+        )
 
 
 def op1_mix_sources(spark, sf_dir):

@@ -7,10 +7,11 @@ filling its sequence (nothing else fits; the partner fills it exactly; only one
 piece could fit at all; or no two pieces that fit outweigh the partner). What remains is
 packed best-fit, longest first, in whole groups of equal sequences. The plan, a list of
 ranges of ranks within a length, goes to the executors; each piece finds its place by its
-rank, from counts by (length, salt), so that a hot length is spread over many tasks.
+rank, from counts by (length, salt), so that a hot length is spread over many tasks: each
+length has as many salts as its pieces ask for.
 
-Defined results: null and empty texts have one token, the end id; pieces longer than the
-capacity do not exist; repeated rows are packed as often as they stand; no rows, no
+Defined results: null and empty texts have one token, the end id; texts of any length are
+encoded whole, one at a time; pieces longer than the capacity do not exist; repeated rows are packed as often as they stand; no rows, no
 sequences."""
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import scratch, small, text_batches, written
 from .tokens import encoder, public
 
 CAPACITY, END = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one (length, salt) that one task ranks, about.
-RANKED_ROWS = 200_000
+RANKED_ROWS = 20_000
 
 
 def reduce(n: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -188,16 +189,22 @@ def pieces(docs: DataFrame, tokenizer: str, id_col="doc_id", text_col="text", ca
 
 def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """A written table of pieces, with the sequence and offset of each."""
-    total = cut.count()
-    salts = max(1, min(4096, total // RANKED_ROWS))
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int")
+    with scratch() as keep:
+        return _packed(cut, capacity, keep)
+
+
+def _packed(cut: DataFrame, capacity: int, keep) -> DataFrame:
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a length
+    # salts of each length, by its place in an array of capacity + 1
+    salts = F.split(F.lit(",".join(str(-(-counts.get(x, 0) // RANKED_ROWS) or 1) for x in range(capacity + 1))), ",").cast("array<int>")
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(salts, F.col("length").cast("int"))).cast("int")
     salted = cut.withColumn("salt", salt)
-    # at most capacity x salts rows
-    parts = written(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths")
-    counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    most = sum(-(-n // RANKED_ROWS) for n in counts.values())
+    parts = written(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths", rows=most)
     places = plan(counts, capacity)
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    first = written(parts.select("length", "salt", before.alias("first")), "lengths")
+    first = written(parts.select("length", "salt", before.alias("first")), "lengths", rows=most)
+    keep(first)
     rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
     ranked = salted.withColumn("rank", rank).join(small(first), ["length", "salt"]).withColumn("rank", (F.col("rank") + F.col("first")).cast("long"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -220,7 +227,8 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = END, **cols) -> DataFrame:
-    cut = written(pieces(docs, tokenizer or public(TOKENIZER), capacity=capacity, end=end, **cols), "pieces")
+    with text_batches(docs.sparkSession):
+        cut = written(pieces(docs, tokenizer or public(TOKENIZER), capacity=capacity, end=end, **cols), "pieces")
     return packed(cut, capacity)
 
 

@@ -6,7 +6,8 @@ a beta prior fitted to all hosts by the method of moments, and a host whose shru
 exceeds HOST_LIMIT in any rule is rejected. Verdicts are joined back to the documents;
 the per-host table is broadcast only after its rows are counted.
 
-Defined results: null and empty texts have no words and fail; a null host is a host of
+Defined results: null and empty texts have no words and fail; texts of any length are measured
+whole, in one row; equal lines and windows count however they tie; a null host is a host of
 its own; repeated rows count as often as they stand; with one host or none the prior is
 uniform. Only documents of rejected hosts and those that fail the base rules go."""
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, small, words, written
+from .common import let, scratch, small, words, written
 
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 #: A host goes if its shrunk failure rate in a rule is above this.
@@ -109,8 +110,11 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
 
 def judged(docs: DataFrame, limit: float = HOST_LIMIT, **cols) -> DataFrame:
     """One row per document: its measures, base_failed, its host's verdict, kept."""
-    rows = written(measured(docs, **cols), "rules")
-    verdicts = written(host_verdicts(rows, limit), "verdicts").withColumnRenamed("host", "host2")
+    with scratch() as keep:
+        rows = written(measured(docs, **cols), "rules")
+        verdicts = written(host_verdicts(rows, limit), "verdicts")
+        keep(rows, verdicts)
+    verdicts = verdicts.withColumnRenamed("host", "host2")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     got = rows.join(small(verdicts), F.col("host").eqNullSafe(F.col("host2")), "left").drop("host2")
     return got.withColumn("base_failed", base).withColumn("kept", ~base & F.coalesce("host_ok", F.lit(True)))

@@ -10,7 +10,8 @@ That with the smallest page id is the response, the others are revisits of it. D
 are grouped without payloads, and only groups of two or more reach the join; those are
 broadcast if they are few by count, else adaptive execution splits a hot digest.
 
-Defined results: a null payload is empty; rows that share the smallest page id of their
+Defined results: a null payload is empty; payloads of any length are one record, held whole
+while it is written or read; a null URL is empty; rows that share the smallest page id of their
 group are all responses; null page ids are never the smallest unless a group has no
 other; an empty table gives no bundles."""
 
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import open_at
-from .common import new_path, small, written
+from .common import held, new_path, scratch, small, text_batches, written
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 18, 1 << 27, 3
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
+#: Pages that go to a Python worker at once.
+PAGE_ROWS = 200
 #: All records carry the same date, so that equal inputs give equal bundles.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -189,7 +192,8 @@ def write_bundles(rows: DataFrame, folder: str) -> DataFrame:
             close()
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["path", "n_records"])
 
-    return written(rows.mapInArrow(run, "path string, n_records bigint"), "bundles")
+    with text_batches(rows.sparkSession, PAGE_ROWS):
+        return written(rows.mapInArrow(run, "path string, n_records bigint"), "bundles")
 
 
 def read_bundles(manifest: DataFrame, id_type: str) -> DataFrame:
@@ -235,7 +239,11 @@ def read_bundles(manifest: DataFrame, id_type: str) -> DataFrame:
 def op10_warc(spark, sf_dir):
     """Every page as read back from the bundles it was written to."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    manifest = write_bundles(decided(pages), new_path(spark, "warc"))
+    with scratch() as keep:
+        folder = new_path(spark, "warc")
+        manifest = write_bundles(decided(pages), folder)
+        keep(manifest)
+    held(spark, folder)
     return read_bundles(manifest, pages.schema["page_id"].dataType.simpleString())
 
 
