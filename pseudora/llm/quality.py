@@ -10,11 +10,14 @@ training only has to follow the positions that won the pooling.
 The network is trained on the driver on a bounded sample (SAMPLE_ROWS labelled rows of
 at most SAMPLE_BYTES each, chosen by a hash of the id, half of each label where there
 are as many), scored in Arrow batches on the executors, and travels as about 0.2 MB of
-tables in the closure. Texts of any length are scored in slabs of bounded memory.
+tables in the closure. It is trained for at least LEAST_STEPS steps, and both labels weigh the
+same in all, however many rows each has: a score is the probability of label 1 where both are
+as frequent, so THRESHOLD means the same for few labelled rows and many. Texts of any length are scored in slabs of bounded memory.
 
 Defined results: null and empty texts are one chunk of padding and get a score; labels
-that are null, or not 0 or 1, are not learnt from; without labelled rows every score
-is 0.5; repeated rows get equal scores."""
+that are null, or not 0 or 1, are not learnt from, nor are ids with both labels; without
+labelled rows every score is 0.5, and with rows of one label alone scores lean to it; a score
+equal to THRESHOLD is label 1; repeated rows get equal scores; further columns are kept."""
 
 from __future__ import annotations
 
@@ -32,6 +35,8 @@ FILTERS, WIDTH, HIDDEN = 24, 4, 16
 HALF = 128
 CHUNK = 2 * HALF
 EPOCHS, BATCH, RATE = 12, 64, 0.01
+#: Steps of training, whatever the number of rows.
+LEAST_STEPS = 750
 THRESHOLD = 0.3
 #: Bytes scored at once: FILTERS floats each.
 SLAB = 1 << 17
@@ -116,6 +121,10 @@ def train(texts: list[bytes], labels: list[int], epochs=EPOCHS, seed=7) -> Model
         "out": rng.normal(0, 0.2, 2 * HIDDEN).astype(np.float32),
         "out_b": np.zeros(1, np.float32),
     }
+    # each label has half of the weight
+    counts = np.bincount(y_all.astype(int), minlength=2)
+    weight = (len(y_all) / (2 * np.maximum(counts, 1)) if counts.all() else np.ones(2)).astype(np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(texts) // BATCH)))
     m1, m2, t = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     total = epochs * -(-len(texts) // BATCH)
     for _ in range(epochs):
@@ -145,7 +154,7 @@ def train(texts: list[bytes], labels: list[int], epochs=EPOCHS, seed=7) -> Model
             high = np.maximum.reduceat(h, first, axis=0)
             doc = np.concatenate([mean, high], axis=1)
             z = doc @ p["out"] + p["out_b"][0]
-            dz = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)).astype(np.float32)
+            dz = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight[y.astype(int)] / len(y)).astype(np.float32)
             # backward
             g = {"out": doc.T @ dz, "out_b": np.array([dz.sum()], np.float32)}
             ddoc = dz[:, None] * p["out"][None, :]
