@@ -3,25 +3,35 @@
 Base spans (email, ip, card, phone) are found in each text's own row, with possessive
 patterns whose cost is linear even in very long runs of letters or digits.
 
-The method on top starts from them as seeds. Every identifier-shaped token (one with a
-digit) is an instance; the words on its left and right are lexical patterns. Spark scores
-the graph of patterns and instances in ROUNDS rounds: a pattern is as sure as its
-instances are on average (shrunk by one doubtful instance), an instance that is no seed as
-sure as the patterns around it. Patterns that at least SUPPORT distinct seeds share and
-that score CONFIDENCE or more discover the other instances they surround, as spans of kind
-"context". Only narrow rows of candidates are shuffled; scores are grouped with partial
-aggregation and joined back as broadcasts if few by count, else as skew-splitting joins.
+The method on top starts from them as seeds. A text is read as tokens; each base span is one
+token, and a seed, with the words around the whole span as its context. Contexts are lexical
+patterns: the words on either side, and the three words before. Patterns that at least SUPPORT
+distinct seeds share are the ones that seeds induce, and every token of every text that stands
+in one of them is an instance, whatever it looks like. Spark scores the graph of patterns and
+instances in rounds: a pattern is as sure as its distinct instances are on average, with one
+doubtful instance more; a seed is sure, any other instance as sure as its patterns are on
+average, with one doubtful pattern more. Scores rise from round to round, and the rounds end
+when no pattern moves by more than SETTLED. A pattern of S seeds and U others that stand in it
+alone so settles at S / (S + U / 2 + 1): five seeds reach CONFIDENCE with up to two others,
+thirty with up to twenty-three. What else stands in a pattern that sure is found as a span of
+kind "context". Contexts left out are those of fewer seeds, and those that mostly hold other
+words.
+
+Only instances of induced patterns leave a text's own row; patterns reach the texts as a
+broadcast if they are few by count and bytes, else the join shuffles and splits hot patterns.
 
 Defined results: null texts are empty and have no spans; the digest of no spans is that of
-the empty string; rows equal in id and text share their spans; a discovered span never
-overlaps a base span, and base spans never change."""
+the empty string; texts of any length are read whole, in time linear in their length and, for
+texts with spans, in length times spans; rows equal in id and text share their spans; a
+discovered span never overlaps a base span, and base spans never change; ties at CONFIDENCE
+are sure; an empty table gives no rows; further columns are not read."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, prefix_sums, small, written
+from .common import forget, let, prefix_sums, scratch, small, written
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
@@ -36,18 +46,20 @@ PATTERNS = {
 }
 #: A cheap test that a text can hold a kind at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
-_TOKEN = "[A-Za-z0-9@._%+-]"
-#: Tokens with a digit, tried once a run.
-CANDIDATE = rf"(?<!{_TOKEN})(?=[A-Za-z@._%+-]*+[0-9]){_TOKEN}++"
-ROUNDS, SUPPORT, CONFIDENCE = 3, 5, 0.9
-#: Digits that a discovered identifier has at least.
-LEAST_DIGITS = 6
-#: Code points on either side that a context word may take.
-REACH = 40
+#: So many induced patterns, of 8 bytes each, may be broadcast.
+PATTERN_ROWS = 1_000_000
+#: Rounds at most, seeds of a pattern at least, how sure a pattern is that discovers, and when scores have settled.
+ROUNDS, SUPPORT, CONFIDENCE, SETTLED = 12, 5, 0.7, 0.01
+#: What parts tokens, beside white space; dots at their end are no part of them.
+_BREAKS = " \t\n\x0b\x0c\r,;:!?()[]{}<>\"'"
+#: Characters of base spans, and what stands for them in a text of tokens: private characters that keep
+#: a span one token, tell it from others, and are taken out of the text before.
+_SPAN_CHARS = "0123456789@ ()"
+_PRIVATE = "".join(chr(0xF8D0 + k) for k in range(len(_SPAN_CHARS)))
 
 
 def found(text: Column, pattern: str) -> Column:
-    """array of (start, end, value, before, after) of all matches, in code points.
+    """array of (start, end, value) of all matches, in code points.
 
     The text is split at the matches; places are running sums of the lengths."""
 
@@ -59,12 +71,9 @@ def found(text: Column, pattern: str) -> Column:
                 matches,
                 lambda m, i: let(
                     F.get(at, i) + F.length(F.get(pieces, i)),
-                    lambda s: F.struct(
-                        s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value"),
-                        F.right(F.get(pieces, i), F.lit(REACH)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(REACH)).alias("after"),
-                    ),
+                    lambda s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")),
                 ),
-            )
+            )
 
         return let(prefix_sums(steps), spans)
 
@@ -117,77 +126,118 @@ def base_spans(text: Column) -> dict[str, Column]:
     return out
 
 
-def rows_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, key (hash of the text), n_<kind>, base (sorted spans), candidates: a narrow row per document."""
+def texts_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id, key (hash of the text), text, and the base spans of each kind."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    word = r"^\s*(\S+)(?s:.*)$"
+    return rows.select("doc_id", F.xxhash64("text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+
+
+def rows_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id, key (hash of the text), n_<kind>, base (sorted spans): a narrow row per document."""
+    rows = texts_of(docs, id_col, text_col)
+    return rows.select("doc_id", "key", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS], F.array_sort(F.concat(*KINDS)).alias("base"))
+
+
+def woven(text: Column, spans: Column, gap, span) -> Column:
+    """The text with what lies between spans, and the spans themselves, replaced by columns;
+    of spans that overlap, the later ones' further part is a span of its own: span(its text, its kind, whether new)."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+    part = lambda a, b: F.substring(text, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
 
-    def candidate(x: Column) -> Column:
+    def step(s: Column, x: Column) -> Column:
+        begin = F.greatest(s["at"], x["start"])
         return F.struct(
-            x["start"].alias("start"),
-            x["end"].alias("end"),
-            F.xxhash64(F.lower(x["value"])).alias("instance"),
-            F.length(digits(x["value"])).alias("digits"),
-            F.lower(F.regexp_extract(x["before"], r"(\S+)\s*$", 1)).alias("left"),
-            F.lower(F.regexp_extract(x["after"], word, 1)).alias("right"),
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.concat(s["out"], F.array(gap(part(s["at"], x["start"])), span(part(begin, x["end"]), x["k"], x["start"] >= s["at"]))).alias("out"),
+        )
+
+    whole = lambda s: F.concat(F.array_join(s["out"], ""), gap(F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, whole)).otherwise(gap(text))
+
+
+def tokens(text: Column, spans: Column) -> Column:
+    """array of (start, end, h, seed): the tokens of a text, in code points, with a hash of their lower
+    case, and whether a token is, or holds, a base span."""
+    plain = lambda t: F.translate(t, _BREAKS + _PRIVATE, " " * len(_BREAKS + _PRIVATE))
+    own = lambda t, k, new: F.translate(t, _SPAN_CHARS, _PRIVATE)
+    seed = lambda p: p.rlike(f"[{_PRIVATE}]")
+
+    def placed(pieces: Column) -> Column:
+        return F.zip_with(
+            pieces,
+            prefix_sums(F.transform(pieces, lambda p: (F.length(p) + 1).cast("bigint"))),
+            lambda p, at: let(F.rtrim(p, F.lit(".")), lambda q: F.struct(at.alias("start"), (at + F.length(q)).alias("end"), F.xxhash64(F.lower(q)).alias("h"), seed(q).alias("seed"))),
         )
 
-    candidates = F.when(F.col("text").rlike("[0-9]"), F.transform(found(F.col("text"), CANDIDATE), candidate))
-    return rows.select(
-        "doc_id",
-        "key",
-        *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
-        F.array_sort(F.concat(*KINDS)).alias("base"),
-        candidates.alias("candidates"),
-    )
-
-
-def discovered(rows: DataFrame, rounds=ROUNDS, support=SUPPORT, confidence=CONFIDENCE) -> DataFrame:
-    """doc_id, key, start, end of the spans that sure patterns find beyond the base ones."""
-    seen = rows.filter(F.size("candidates") > 0).select("doc_id", "key", "base", F.explode("candidates").alias("c"))
-    seen = seen.select("doc_id", "key", "c.*", F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (F.col("c.start") < b["end"])).alias("seed"))
-    # patterns: the pair of words around, and each with a side of its own
-    context = F.array(
-        F.when((F.col("left") != "") & (F.col("right") != ""), F.xxhash64(F.lit("both"), "left", "right")),
-        F.when(F.col("left") != "", F.xxhash64(F.lit("left"), "left")),
-        F.when(F.col("right") != "", F.xxhash64(F.lit("right"), "right")),
-    )
-    occurrences = written(seen.select("doc_id", "key", "start", "end", "instance", "digits", "seed", F.explode(F.array_compact(context)).alias("pattern")), "pii-seen")
-    # an instance is a seed if most of its occurrences are
-    edges = written(
-        occurrences.groupBy("pattern", "instance").agg(F.count_if("seed").alias("s"), F.count(F.lit(1)).alias("n")), "pii-edges"
-    )
-    seeds = edges.groupBy("instance").agg((F.sum("s") * 2 > F.sum("n")).alias("seed"))
-    scores = written(seeds.withColumn("score", F.col("seed").cast("double")), "pii-scores")
-    patterns = None
+    return F.filter(let(F.split(woven(text, spans, plain, own), " "), placed), lambda x: x["end"] > x["start"])
+
+
+def occurrences(texts: DataFrame) -> DataFrame:
+    """doc_id, key, start, end, instance, seed, pattern: every token in each of its contexts."""
+    rows = texts.withColumn("base", F.array_sort(F.concat(*KINDS)))
+    rows = rows.select("doc_id", "key", tokens(F.col("text"), F.col("base")).alias("k"))
+    rows = rows.select("doc_id", "key", "k", F.size("k").alias("n"), F.explode(F.sequence(F.lit(0), F.greatest(F.size("k") - 1, F.lit(0)))).alias("i"))
+    word = lambda d: F.get("k", F.col("i") + d)["h"]
+    both = F.when((F.col("i") > 0) & (F.col("i") < F.col("n") - 1), F.xxhash64(word(-1), word(1)))
+    left = F.when(F.col("i") > 2, F.xxhash64(word(-3), word(-2), word(-1)))
+    here = F.get("k", F.col("i"))
+    rows = rows.filter("n > 0").select("doc_id", "key", here["start"].alias("start"), here["end"].alias("end"), here["h"].alias("instance"), here["seed"].alias("seed"), both.alias("both"), left.alias("left"))
+    held = ["doc_id", "key", "start", "end", "instance", "seed"]
+    return rows.select(*held, F.explode(F.array("both", "left")).alias("pattern")).filter("pattern IS NOT NULL")
+
+
+def scored(edges: DataFrame, rounds=ROUNDS, settled=SETTLED) -> DataFrame:
+    """pattern, support, sure: of edges (pattern, instance, seed), each pair once."""
+    most = edges.count()
+    told = edges.withColumn("score", F.col("seed").cast("double"))
+    patterns, before = None, None
     for _ in range(rounds):
         # an instance stands in many patterns and a pattern round many instances: both sums combine before the shuffle
-        patterns = edges.join(small(scores), "instance").groupBy("pattern").agg(
-            (F.sum("score") / (F.count(F.lit(1)) + 1)).alias("sure"), F.count_if("seed").alias("support")
-        )
-        patterns = written(patterns, "pii-patterns")
-        told = edges.join(small(patterns.filter(F.col("support") >= support)), "pattern").groupBy("instance").agg(F.max("sure").alias("told"))
-        scores = written(
-            scores.select("instance", "seed").join(told, "instance", "left").select("instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0))).alias("score")),
-            "pii-scores",
-        )
-    sure = written(patterns.filter((F.col("support") >= support) & (F.col("sure") >= confidence)).select("pattern"), "pii-sure")
-    new = occurrences.filter(~F.col("seed") & (F.col("digits") >= LEAST_DIGITS)).join(small(sure), "pattern", "left_semi")
-    return new.select("doc_id", "key", "start", "end").distinct()
+        patterns = told.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("sure"), F.count_if("seed").alias("support"))
+        patterns = written(patterns, "pii-patterns", rows=most)
+        if before is not None:
+            old = before.select(F.col("pattern").alias("p2"), F.col("sure").alias("was"))
+            moved = patterns.join(old, patterns["pattern"] == old["p2"]).agg(F.max(F.col("sure") - F.col("was"))).first()[0]
+            forget(before)
+            if (moved or 0.0) <= settled:
+                break
+        before = patterns
+        scores = edges.filter("NOT seed").join(small(patterns.select("pattern", "sure")), "pattern").groupBy("instance").agg((F.sum("sure") / (F.count(F.lit(1)) + 1)).alias("told"))
+        scores = written(scores, "pii-scores", rows=most)
+        told = edges.join(small(scores), "instance", "left").select("pattern", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("told", F.lit(0.0))).alias("score"))
+    return patterns
+
+
+def discovered(docs: DataFrame, rows: DataFrame, id_col="doc_id", text_col="text", rounds=ROUNDS, support=SUPPORT, confidence=CONFIDENCE) -> DataFrame:
+    """doc_id, key, start, end of the spans that sure patterns find beyond the base ones of rows."""
+    texts = texts_of(docs, id_col, text_col)
+    nothing = rows.select("doc_id", "key", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end")).limit(0)
+    seeds = occurrences(texts.filter(F.size(F.concat(*KINDS)) > 0)).filter("seed").select("pattern", "instance").distinct()
+    induced = written(seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= support).select("pattern"), "pii-induced")
+    if induced.isEmpty():
+        return nothing
+    hits = written(occurrences(texts).join(small(induced, PATTERN_ROWS), "pattern", "left_semi"), "pii-hits")
+    # an instance that is a seed anywhere is one everywhere
+    edges = hits.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    known = hits.filter("seed").select(F.col("instance").alias("i2")).distinct().withColumn("is", F.lit(True))
+    edges = written(edges.join(known, F.col("instance") == F.col("i2"), "left").select("pattern", "instance", F.coalesce("is", F.lit(False)).alias("seed")), "pii-edges")
+    sure = scored(edges, rounds).filter((F.col("support") >= support) & (F.col("sure") >= confidence)).select("pattern")
+    return hits.filter("NOT seed").join(small(written(sure, "pii-sure")), "pattern", "left_semi").select("doc_id", "key", "start", "end").distinct()
 
 
 def all_spans(docs: DataFrame, id_col="doc_id", text_col="text", **limits) -> DataFrame:
     """doc_id, key, n_<kind>, base, spans: base and discovered spans, sorted."""
-    rows = written(rows_of(docs, id_col, text_col), "pii")
-    extra = discovered(rows, **limits).groupBy(F.col("doc_id").alias("d2"), F.col("key").alias("key2")).agg(
-        F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("k"), "end")).cast(_SPANS).alias("extra")
-    )
-    extra = written(extra, "pii-extra")
-    got = rows.drop("candidates").join(small(extra), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("key") == F.col("key2")), "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(_SPANS))))
-    return got.withColumn("spans", spans).drop("d2", "key2", "extra")
+    with scratch() as keep:
+        rows = written(rows_of(docs, id_col, text_col), "pii")
+        extra = discovered(docs, rows, id_col, text_col, **limits).groupBy(F.col("doc_id").alias("d2"), F.col("key").alias("key2")).agg(
+            F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("k"), "end")).cast(_SPANS).alias("extra")
+        )
+        extra = written(extra, "pii-extra")
+        keep(rows, extra)
+        got = rows.join(small(extra), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("key") == F.col("key2")), "left")
+        spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(_SPANS))))
+        return got.withColumn("spans", spans).drop("d2", "key2", "extra")
 
 
 def listed(spans: Column) -> Column:
@@ -198,27 +248,19 @@ def listed(spans: Column) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span, or run of overlapping spans, replaced by [KIND]."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in (*KINDS, CONTEXT)])
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        inside = x["start"] < s["at"]
-        gap = F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(inside, s["out"]).otherwise(F.concat(s["out"], F.array(gap, F.get(names, x["k"])))).alias("out"),
-        )
-
-    whole = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, whole)).otherwise(text)
+    return woven(text, spans, lambda t: t, lambda t, k, new: F.when(new, F.get(names, k)).otherwise(F.lit("")))
 
 
 def redacted(docs: DataFrame, id_col="doc_id", text_col="text", **limits) -> DataFrame:
     """docs with personal data masked in `text_col`; all other columns and null texts as they are."""
-    spans = written(all_spans(docs, id_col, text_col, **limits).filter(F.size("spans") > 0).select(F.col("doc_id").alias("pii__id"), F.col("key").alias("pii__key"), F.col("spans").alias("pii__spans")).distinct(), "pii-spans")
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    got = docs.join(small(spans), docs[id_col].eqNullSafe(F.col("pii__id")) & (key == F.col("pii__key")), "left")
-    text = F.when(F.col("pii__spans").isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("pii__spans")))
-    return got.withColumn(text_col, text).select(*docs.columns)
+    with scratch() as keep:
+        found_ = all_spans(docs, id_col, text_col, **limits).filter(F.size("spans") > 0)
+        spans = written(found_.select(F.col("doc_id").alias("pii__id"), F.col("key").alias("pii__key"), F.col("spans").alias("pii__spans")).distinct(), "pii-spans")
+        keep(spans)
+        key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        got = docs.join(small(spans), docs[id_col].eqNullSafe(F.col("pii__id")) & (key == F.col("pii__key")), "left")
+        text = F.when(F.col("pii__spans").isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("pii__spans")))
+        return got.withColumn(text_col, text).select(*docs.columns)
 
 
 def op6_pii(spark, sf_dir):
