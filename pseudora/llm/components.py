@@ -3,42 +3,44 @@ small-star steps (Kiveris et al., "Connected Components in MapReduce and Beyond"
 
 Nothing is collected: each round is two grouped minima and two joins, written to the
 shared folder; the loop ends when a round changes no edge. Edges of a hub sit in one
-key, which adaptive execution splits in the joins; the minima combine before the shuffle."""
+key, which adaptive execution splits in the joins; the minima combine before the shuffle.
+Neither step makes more edges than it reads, so the count of the first table bounds the
+files of all later ones."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, written
+from .common import forget, scratch, written
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges (u, v), root the smallest node reachable.
 
     Self-links are kept as single nodes; repeated edges count once; no edges, no rows."""
-    now = written(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
-    )
-    before = None
-    for _ in range(rounds):
-        # large-star: every larger neighbour hangs on the smallest neighbour
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.union(now.filter("u = v")).distinct(), "edges")
-        # small-star: a node and its smaller neighbours hang on the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        star = large.join(low, "u")
-        small = star.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        after = written(small.distinct(), "edges")
-        seen = after.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        forget(large)
-        forget(now)
-        now = after
-        if tuple(seen) == before:
-            break
-        before = tuple(seen)
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select("u", "v").union(now.select(F.col("v").alias("u"), "v")).groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    with scratch() as keep:
+        now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        most, before = now.count(), None
+        for _ in range(rounds):
+            # large-star: every larger neighbour hangs on the smallest neighbour
+            both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = written(large.union(now.filter("u = v")).distinct(), "edges", rows=most)
+            # small-star: a node and its smaller neighbours hang on the smallest of them
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            star = large.join(low, "u")
+            after = star.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+            after = written(after.distinct(), "edges", rows=most)
+            seen = after.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
+            forget(large)
+            forget(now)
+            now = after
+            if tuple(seen) == before:
+                break
+            before = tuple(seen)
+        else:
+            raise RuntimeError("components did not settle")
+        keep(now)
+        return now.select("u", "v").union(now.select(F.col("v").alias("u"), "v")).groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")

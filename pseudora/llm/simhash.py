@@ -14,17 +14,23 @@ pairs. In the wide form pairs must also lie within `wide_radius` bits of all 256
 The wide form takes each shingle once, names nodes by their set of shingles, and links only
 candidates: what they connect is compared again, in tiles of each group, by the Jaccard
 similarity of the sets of shingles (as their 64-bit hashes), and links at SIMILARITY or more.
+Sets so alike have sizes within that ratio, so cells and the tiles of a group are also laid
+out by the logarithm of the size, and only neighbouring ones meet.
 
 Exact comparison of all tiles is quadratic in the number of distinct fingerprints; quarters
-keep about one pair in seventy at radius 2, the wide form nearly all.
+keep about one pair in seventy at radius 2, the wide form those of like sizes.
 
 Defined results: null and empty texts have fingerprint 0 and link like any other; fewer
-words than a shingle make one shingle; repeated rows are kept; null ids are never the
-smallest of a component unless it has no other."""
+words than a shingle make one shingle; very long texts are walked in slabs, with a shingle's
+overlap, and hold no list of their words (the wide form holds 8 bytes a distinct shingle);
+repeated rows are kept; null ids are never the smallest of a component unless it has no
+other; an empty table gives no rows; further columns are not read."""
 
 from __future__ import annotations
 
 import itertools
+import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -32,46 +38,69 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, small, written
+from .common import scratch, small, text_batches, written
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Rows of a tile: two tiles are compared in blocks of about a million pairs.
 TILE_ROWS = 4096
 WIDE_TILE_ROWS = 1 << 16
-_SLAB = 1 << 15
+#: Bytes of a text that are cut into words at once.
+_SLAB = 1 << 18
 #: The wide form: candidates for five-word shingles at a similarity of 0.8 or more. At
 #: Jaccard 0.8 the cosine of two sets of one size is 8/9, which differs in 0.15 of the bits:
 #: 38.8 of 256 and 9.7 of 64, to which the radii add about three deviations (5.7 and 2.9).
 WIDE = {"shingle": 5, "radius": 18, "wide_radius": 56}
 #: Jaccard similarity that links candidates, as a fraction.
 SIMILARITY = (4, 5)
-#: Texts of a tile of a group in which candidates are compared by their shingles.
-GROUP_ROWS = 512
+#: Texts, and bytes of texts, of a tile of a group in which candidates are compared by their shingles.
+GROUP_ROWS, GROUP_BYTES = 512, 64 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
-def shingled(text: str | None, shingle: int) -> np.ndarray:
-    """The hashes of a text's word shingles, one for each place."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    n = max(1, len(words) - shingle + 1)
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[: n - 1].tolist()]
-    stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
-
-
-def _words(hashes: np.ndarray, k: int) -> list[int]:
-    n = len(hashes)
-    if not n:
-        return [0] * k
-    ones = np.zeros((k, 64), np.int64)
-    for at in range(0, n, _SLAB):
-        h = hashes[at : at + _SLAB]
+_SPACES = b" \t\n\v\f\r"
+_BLANK = re.compile(rb"[ \t-\r]")
+
+
+def _slabs(text: str | None):
+    """Lists of the lower-case words of a text, a slab of its bytes at a time."""
+    raw, at = (text or "").encode("utf-8", "surrogatepass"), 0
+    while at < len(raw):
+        end = at + _SLAB
+        if end < len(raw):
+            cut = _BLANK.search(raw, end)
+            end = cut.start() if cut else len(raw)
+        yield raw[at:end].lower().split()
+        at = end
+
+
+def shingled(text: str | None, shingle: int):
+    """The hashes of a text's word shingles, one for each place, in arrays of bounded size."""
+    digest, held, told = xxhash.xxh64_intdigest, [], False
+    for words in _slabs(text):
+        held += words
+        n = len(held) - shingle + 1
+        if n < 1:
+            continue
+        line = b" ".join(held)
+        ends = np.cumsum([len(w) + 1 for w in held])
+        starts, stops = [0, *ends[: n - 1].tolist()], (ends[shingle - 1 :] - 1).tolist()
+        yield np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+        held, told = held[n:], True
+    if held and not told:  # fewer words than a shingle
+        yield np.array([digest(b" ".join(held), SEED)], np.uint64)
+
+
+def distinct_shingles(text: str | None, shingle: int) -> np.ndarray:
+    """The sorted set of the hashes of a text's shingles."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(h) for h in shingled(text, shingle))]))
+
+
+def _words(parts, k: int) -> list[int]:
+    """k words of 64 bits: each bit that is set in over half of all hashes in the arrays."""
+    ones, n = np.zeros((k, 64), np.int64), 0
+    for h in parts:
+        n += len(h)
         for i in range(k):
             x = h
             if i:
@@ -82,18 +111,17 @@ def _words(hashes: np.ndarray, k: int) -> list[int]:
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, wide: bool = False) -> list[int]:
-    """The words of the fingerprint: one, or four and a hash of the set of shingles in the wide form."""
-    h = shingled(text, shingle)
+    """The words of the fingerprint: one, or four, a hash of the set of shingles and its size in the wide form."""
     if not wide:
-        return _words(h, 1)
-    h = np.unique(h)
-    return [*_words(h, 4), xxhash.xxh64_intdigest(h.tobytes(), SEED)]
+        return _words(shingled(text, shingle), 1)
+    h = distinct_shingles(text, shingle)
+    return [*_words([h[k : k + _SLAB // 8] for k in range(0, len(h), _SLAB // 8)], 4), xxhash.xxh64_intdigest(h.tobytes(), SEED), len(h)]
 
 
 def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE, wide: bool = False) -> DataFrame:
     """doc_id, key (hash of the text), f0.. : the words of every whole text's fingerprint, as
-    signed longs; fp, which names its node: the word, or the hash of the set of shingles."""
-    names = ["f0", "f1", "f2", "f3", "fp"] if wide else ["f0"]
+    signed longs; fp, which names its node: the word, or the hash of the set of shingles, of size n."""
+    names = ["f0", "f1", "f2", "f3", "fp", "n"] if wide else ["f0"]
 
     def run(batches):
         for b in batches:
@@ -108,8 +136,14 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int
     return made if wide else made.withColumn("fp", F.col("f0"))
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, same: bool):
-    """Index pairs (i, j) within the radii, in blocks of rows."""
+def _alike_sizes(x, y):
+    """Whether sets of these sizes can be as like as SIMILARITY."""
+    num, den = SIMILARITY
+    return den * np.minimum(x, y) >= num * np.maximum(x, y)
+
+
+def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, same: bool, sizes=None):
+    """Index pairs (i, j) within the radii and, where sizes are given, of like sizes, in blocks of rows."""
     step = max(1, (1 << 20) // max(1, len(b)))
     b0 = np.ascontiguousarray(b[:, 0])
     for at in range(0, len(a), step):
@@ -118,6 +152,9 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, sa
         if same:
             keep = i < j
             i, j = i[keep], j[keep]
+        if sizes is not None and len(i):
+            keep = _alike_sizes(sizes[0][i], sizes[1][j])
+            i, j = i[keep], j[keep]
         if wide_radius is not None and len(i):
             keep = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= wide_radius
             i, j = i[keep], j[keep]
@@ -125,11 +162,11 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int, wide_radius: int | None, sa
             yield i, j
 
 
-def _stars(a: np.ndarray, b: np.ndarray | None, radius: int, wide_radius: int | None = None):
+def _stars(a: np.ndarray, b: np.ndarray | None, radius: int, wide_radius: int | None = None, sizes=None):
     """(node, root) places of one tile pair: every linked node with the root of its group in the pair."""
     shift = 0 if b is None else len(a)
     parent = np.arange(len(a) + (0 if b is None else len(b)))
-    for i, j in _near(a, a if b is None else b, radius, wide_radius, b is None):
+    for i, j in _near(a, a if b is None else b, radius, wide_radius, b is None, sizes):
         j = j + shift
         while True:  # hook the larger root on the smaller, then shorten all paths
             p, q = parent[i], parent[j]
@@ -144,9 +181,16 @@ def _stars(a: np.ndarray, b: np.ndarray | None, radius: int, wide_radius: int |
     return moved, parent[moved]
 
 
+def _size_class(n):
+    """Sizes as like as SIMILARITY fall into one class or neighbouring ones."""
+    num, den = SIMILARITY
+    return F.floor(F.ln(F.greatest(n, F.lit(1)).cast("double")) / F.lit(math.log(den / num))).cast("int")
+
+
 def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None, tile_rows: int | None = None) -> DataFrame:
-    """Edges (u, v) among nodes (fp, f0..) that connect all within the radii."""
-    words = [c for c in nodes.columns if c != "fp"]
+    """Edges (u, v) among nodes (fp, f0.. and in the wide form n) that connect all within the radii."""
+    words = [c for c in nodes.columns if re.fullmatch("f[0-9]", c)]
+    wide = wide_radius is not None and "n" in nodes.columns
     # a small radius: four quarters, counts one by one; a large one: the first word, counts by eights
     parts, grain = (4, 1) if radius <= 4 else (1, 8)
     if tile_rows is None:
@@ -158,14 +202,17 @@ def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None
     top = bits // grain
     base = top + 1
     cell = sum((c * base**k for k, c in enumerate(counts)), F.lit(0))
-    placed = nodes.select("fp", *words, cell.cast("int").alias("cell"), *[c.alias(f"c{k}") for k, c in enumerate(counts)])
-    # at most 17^4 cells, whatever the input: a bounded broadcast
+    data = [*words, *(["n"] if wide else [])]
+    if wide:
+        cell = cell + _size_class(F.col("n")) * base**parts
+    placed = nodes.select("fp", *data, cell.cast("int").alias("cell"), *[c.alias(f"c{k}") for k, c in enumerate(counts)])
+    # at most 17^4 cells, or 9 for each class of sizes, whatever the input: a bounded broadcast
     tiles = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(tile_rows))).cast("int").alias("tiles"))
-    tiles = written(tiles, "cells")
+    tiles = written(tiles, "cells", rows=base**parts)
     least = lambda x: max(0, grain * abs(x) - (grain - 1))  # noqa: E731  bits by which counts in cells x apart differ
     reach = [x for x in range(-top, top + 1) if least(x) <= radius]
-    steps = [d for d in itertools.product(reach, repeat=parts) if sum(map(least, d)) <= radius]
-    step = F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"d{k}") for k, x in enumerate(d)], F.lit(sum(x * base**k for k, x in enumerate(d))).alias("off")) for d in steps]))
+    steps = [(*d, z) for d in itertools.product(reach, repeat=parts) if sum(map(least, d)) <= radius for z in ((-1, 0, 1) if wide else (0,))]
+    step = F.explode(F.array(*[F.struct(*[F.lit(x).alias(f"d{k}") for k, x in enumerate(d[:parts])], F.lit(sum(x * base**k for k, x in enumerate(d))).alias("off")) for d in steps]))
     own = placed.join(F.broadcast(tiles), "cell").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     inside = F.lit(True)
     for k in range(parts):
@@ -177,13 +224,13 @@ def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None
         .withColumn("tile2", F.explode(F.sequence(F.lit(0), F.col("tiles2") - 1)))
     )
     pack = lambda c, t: F.shiftleft(F.col(c).cast("long"), 32).bitwiseOR(F.col(t).cast("long"))
-    met = met.select("fp", *words, pack("cell", "tile").alias("x"), pack("cell2", "tile2").alias("y"))
+    met = met.select("fp", *data, pack("cell", "tile").alias("x"), pack("cell2", "tile2").alias("y"))
     dealt = met.select(
         F.least("x", "y").alias("p"),
         F.greatest("x", "y").alias("q"),
         F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2).cast("byte").alias("side"),
         "fp",
-        *words,
+        *data,
     )
 
     def compare(batches):
@@ -193,18 +240,19 @@ def links(nodes: DataFrame, radius: int = RADIUS, wide_radius: int | None = None
             rows = np.concatenate(held)
             side, fp = rows["side"], rows["fp"]
             f = np.stack([rows[w].view(np.uint64) for w in words], axis=1)
+            n = rows["n"] if wide else None
             if side[0] == 0:
-                u, v = _stars(f, None, radius, wide_radius)
+                u, v = _stars(f, None, radius, wide_radius, (n, n) if wide else None)
             else:
                 a, b = side == 1, side == 2
                 if not a.any() or not b.any():
                     return
-                u, v = _stars(f[a], f[b], radius, wide_radius)
+                u, v = _stars(f[a], f[b], radius, wide_radius, (n[a], n[b]) if wide else None)
                 fp = np.concatenate([fp[a], fp[b]])
             if len(u):
                 yield pa.RecordBatch.from_arrays([pa.array(fp[u]), pa.array(fp[v])], names=["u", "v"])
 
-        kind = np.dtype([("p", np.int64), ("q", np.int64), ("side", np.int8), ("fp", np.int64), *[(w, np.int64) for w in words]])
+        kind = np.dtype([("p", np.int64), ("q", np.int64), ("side", np.int8), ("fp", np.int64), *[(w, np.int64) for w in data]])
         for b in batches:
             rows = np.empty(b.num_rows, kind)
             for name in kind.names:
@@ -239,7 +287,7 @@ def _alike(sets: list[np.ndarray], f: np.ndarray, wide_radius: int, side: np.nda
 
     out = []
     for i in range(len(sets)):
-        fits = (den * np.minimum(size[:i], size[i]) >= num * np.maximum(size[:i], size[i])) & ((side[:i] == 0) | (side[:i] != side[i]))
+        fits = _alike_sizes(size[:i], size[i]) & ((side[:i] == 0) | (side[:i] != side[i]))
         js = np.flatnonzero(fits)
         apart = np.bitwise_count(f[js] ^ f[i]).sum(axis=1, dtype=np.int64)
         order = np.argsort(apart, kind="stable")
@@ -254,17 +302,24 @@ def _alike(sets: list[np.ndarray], f: np.ndarray, wide_radius: int, side: np.nda
     return out
 
 
-def confirmed(texts: DataFrame, shingle: int, wide_radius: int, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Edges (u, v) that connect all pairs of a group (fp, root, f0.., text) which are as like as SIMILARITY.
+def confirmed(texts: DataFrame, shingle: int, wide_radius: int, group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Edges (u, v) that connect all pairs of a group (fp, root, n, f0.., text) which are as like as SIMILARITY.
 
-    A group is dealt in pairs of tiles of bounded size, as in links()."""
-    words = [c for c in texts.columns if c[0] == "f" and c != "fp"]
-    tiles = written(texts.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(group_rows))).cast("int").alias("tiles")), "simhash-groups")
-    tile = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    met = texts.join(small(tiles), "root").withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    A group is dealt in pairs of tiles of bounded size, of one class of sizes or neighbouring ones."""
+    words = [c for c in texts.columns if re.fullmatch("f[0-9]", c)]
+    texts = texts.withColumn("class", _size_class(F.col("n")) if "n" in texts.columns else F.lit(0))
+    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(float(group_rows)), F.sum(F.octet_length("text")) / F.lit(float(group_bytes)))).cast("int")
+    tiles = written(texts.groupBy("root", "class").agg(F.greatest(tiles, F.lit(1)).alias("tiles")), "simhash-groups")
+    own = texts.join(small(tiles), ["root", "class"]).withColumn("t", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("long")).drop("tiles")
+    met = own.withColumn("class2", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)]))).join(
+        small(tiles.select("root", F.col("class").alias("class2"), "tiles")), ["root", "class2"]
+    )
+    met = met.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1)))
+    pack = lambda c, t: F.shiftleft(F.col(c).cast("long"), 40).bitwiseOR(F.col(t))
+    met = met.withColumn("x", pack("class", "t")).withColumn("y", pack("class2", "o"))
     dealt = met.select(
-        "root", F.least("t", "o").alias("p"), F.greatest("t", "o").alias("q"),
-        F.when(F.col("t") == F.col("o"), 0).when(F.col("t") < F.col("o"), 1).otherwise(2).cast("int").alias("side"), "fp", *words, "text",
+        "root", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q"),
+        F.when(F.col("x") == F.col("y"), 0).when(F.col("x") < F.col("y"), 1).otherwise(2).cast("int").alias("side"), "fp", *words, "text",
     )
 
     def compare(batches):
@@ -273,18 +328,18 @@ def confirmed(texts: DataFrame, shingle: int, wide_radius: int, group_rows: int
         def flush():
             if len(held) < 2:
                 return
-            sets = [np.unique(shingled(h[2], shingle)) for h in held]
-            got = _alike(sets, np.array([h[3:] for h in held], np.int64).view(np.uint64), wide_radius, np.array([h[0] for h in held]))
+            got = _alike([h[2] for h in held], np.array([h[3:] for h in held], np.int64).view(np.uint64), wide_radius, np.array([h[0] for h in held]))
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array([held[k[x]][1] for k in got], pa.int64()) for x in (0, 1)], names=["u", "v"])
 
         for b in batches:
-            rows = [b.column(c).to_pylist() for c in ("root", "p", "q", "side", "fp", "text", *words)]
-            for root, p, q, *rest in zip(*rows, strict=True):
+            text = b.column("text")
+            rows = [b.column(c).to_pylist() for c in ("root", "p", "q", "side", "fp", *words)]
+            for k, (root, p, q, side, fp, *f) in enumerate(zip(*rows, strict=True)):
                 if (root, p, q) != at:
                     yield from flush()
                     at, held = (root, p, q), []
-                held.append(rest)
+                held.append((side, fp, distinct_shingles(text[k].as_py(), shingle), *f))
         yield from flush()
 
     return dealt.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q").mapInArrow(compare, "u bigint, v bigint")
@@ -293,34 +348,30 @@ def confirmed(texts: DataFrame, shingle: int, wide_radius: int, group_rows: int
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS, wide_radius: int | None = None, tile_rows: int | None = None) -> DataFrame:
     """doc_id, key (hash of the text), f0, component_id (the smallest id reachable) and root
     (the name of the component, which ids that are null or stand twice leave apart) for every row of docs."""
-    wide = wide_radius is not None
-    fps = written(fingerprints(docs, id_col, text_col, shingle, wide), "simhash")
-    words = [c for c in fps.columns if c[0] == "f" and c != "fp"]
-    nodes = written(fps.groupBy("fp", *words).agg(F.min("doc_id").alias("first"), F.min("key").alias("sample")), "simhash-nodes")
-    edges = written(links(nodes.drop("first", "sample"), radius, wide_radius, tile_rows), "simhash-links")
-    roots = written(components(edges), "simhash-roots")
-    if wide:
-        # one text of each node that has candidates
-        asked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "sample", *words), "simhash-asked")
-        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-        told = docs.select(F.xxhash64(text).alias("told"), text.alias("text")).join(small(asked), F.col("told") == F.col("sample"))
-        texts = written(told.groupBy("fp", "root", *words).agg(F.first("text").alias("text")), "simhash-texts")
-        forget(edges)
-        edges = written(confirmed(texts, shingle, wide_radius), "simhash-confirmed")
-        forget(texts)
-        roots = written(components(edges), "simhash-roots")
-    # nodes without links stand alone; for the others, the smallest id of the component
-    linked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "first"), "simhash-linked")
-    low = linked.groupBy("root").agg(F.min("first").alias("low"))
-    member = linked.join(low, "root").select(F.col("fp").alias("m"), "low", "root")
-    forget(edges)
-    final = written(
-        nodes.join(member, nodes["fp"] == member["m"], "left").select(
-            F.col("fp").alias("n"), F.coalesce("low", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
-        ),
-        "simhash-members",
-    )
-    return fps.join(small(final, 20_000), fps["fp"] == final["n"]).select("doc_id", "key", "f0", "component_id", "root")
+    wide, spark = wide_radius is not None, docs.sparkSession
+    with scratch() as keep:
+        with text_batches(spark):
+            fps = written(fingerprints(docs, id_col, text_col, shingle, wide), "simhash")
+        data = [c for c in fps.columns if re.fullmatch("f[0-9]|n", c)]
+        nodes = written(fps.groupBy("fp", *data).agg(F.min("doc_id").alias("first"), F.min("key").alias("sample")), "simhash-nodes")
+        roots = written(components(links(nodes.drop("first", "sample"), radius, wide_radius, tile_rows)), "simhash-roots")
+        if wide:
+            # one text of each node that has candidates
+            asked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "sample", *data), "simhash-asked")
+            text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+            told = docs.select(F.xxhash64(text).alias("told"), text.alias("text")).join(small(asked), F.col("told") == F.col("sample"))
+            texts = written(told.groupBy("fp", "root", *data).agg(F.first("text").alias("text")), "simhash-texts")
+            with text_batches(spark):
+                roots = written(components(confirmed(texts, shingle, wide_radius)), "simhash-roots")
+        # nodes without links stand alone; for the others, the smallest id of the component
+        linked = written(nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "first"), "simhash-linked")
+        low = linked.groupBy("root").agg(F.min("first").alias("low"))
+        member = linked.join(low, "root").select(F.col("fp").alias("m"), "low", "root")
+        named = nodes.join(member, nodes["fp"] == member["m"], "left").select(
+            F.col("fp").alias("node"), F.coalesce("low", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
+        )
+        keep(fps, nodes, linked)
+        return fps.join(named, fps["fp"] == named["node"]).select("doc_id", "key", "f0", "component_id", "root")
 
 
 def op3_simhash(spark, sf_dir):
