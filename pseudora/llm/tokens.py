@@ -22,6 +22,7 @@ import numpy as np
 #: White space, or what engines may count as such, beyond the six ASCII characters.
 _ODD_POINTS = [0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]
 _ODD = re.compile("[" + "".join(map(chr, _ODD_POINTS)) + "]")
+_ODD_ASCII = [chr(c) for c in _ODD_POINTS if c < 128]
 #: Letters of Latin-1, as \\p{L} has them.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _BEYOND = re.compile("['\u0100-\U0010ffff]")
@@ -31,7 +32,7 @@ _STRETCH = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 #: Entries of the cache, and the longest stretch it keeps.
 CACHE, CACHED_CHARS = 1_000_000, 32
 #: Stretches joined for one call, and characters of texts that are cut at once.
-JOINED, GROUP_CHARS = 2000, 1_000_000
+JOINED, GROUP_CHARS = 500, 1_000_000
 _SPACES = " \t\n\r\x0b\x0c"
 
 
@@ -41,7 +42,8 @@ class Encoder:
     drops_space says that the tokenizer drops white space and case, so that stretches are words;
     specials, that literals of added tokens are these tokens.
     New stretches of many texts are joined to one text for the library, since a call for
-    each would cost more than the encoding; offsets tell whose the tokens are."""
+    each would cost more than the encoding. Whose the tokens are is told by the bytes that
+    each token stands for, or, where normalisation can change lengths, by offsets."""
 
     def __init__(self, path: str, drops_space: bool = False, cache: int = CACHE, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -55,12 +57,28 @@ class Encoder:
         self.heads = {h for t in added for h in (t[0].lower(), t[0].upper())}
         # two generations: when the new one is full, the old one goes, and with it what was not used since
         self.drops_space, self.most, self.cache, self.old = drops_space, cache, {}, {}
+        # bytes of each token: its characters stand for one byte each, but for the mark of a word's end
+        mark = "</w>" if drops_space else ""
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes_of[i] = len(token.removesuffix(mark) if mark else token)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _joined(self, parts: list[str]) -> list[bytes]:
         """The ids of each part; between two parts white space begins."""
+        found = self.tokenizer.encode_batch_fast([(" " if self.drops_space else "").join(parts)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<u4")
+        upto = np.concatenate([[0], np.cumsum(self.bytes_of[ids])])
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        cuts = np.searchsorted(upto, ends)
+        if cuts[-1] != len(ids) or (upto[cuts] != ends).any():
+            return self._by_offsets(parts)
+        cuts, raw = [0, *(4 * cuts).tolist()], ids.tobytes()
+        return [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _by_offsets(self, parts: list[str]) -> list[bytes]:
         gap = 1 if self.drops_space else 0
         found = self.tokenizer.encode((" " * gap).join(parts), add_special_tokens=False)
         starts = np.cumsum([0, *[len(p) + gap for p in parts]])
@@ -70,21 +88,25 @@ class Encoder:
         return [raw[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def _new(self, parts: list[str]) -> dict[str, bytes]:
-        alone = [p for p in parts if not self.drops_space and (p[0] not in _SPACES or p[-1] in _SPACES)]
+        if self.drops_space:
+            alone, odd = [], [p for p in parts if _BEYOND.search(p) or p != p.lower()]
+        else:
+            alone, odd = [p for p in parts if p[0] not in _SPACES or p[-1] in _SPACES], []
         fresh = {p: self._whole(p) for p in alone}
-        rest = [p for p in parts if p not in fresh] if alone else parts
-        for k in range(0, len(rest), JOINED):
-            some = rest[k : k + JOINED]
-            fresh.update(zip(some, self._joined(some), strict=True))
+        apart = {*alone, *odd}
+        for some, told in ((odd, self._by_offsets), ([p for p in parts if p not in apart], self._joined)):
+            for k in range(0, len(some), JOINED):
+                part = some[k : k + JOINED]
+                fresh.update(zip(part, told(part), strict=True))
         return fresh
 
     def _cut(self, text: str | None) -> list[str] | None:
         """The stretches of a text; None if the library must take it whole."""
-        if text is None or _ODD.search(text):
+        if text is None or (any(c in text for c in _ODD_ASCII) if (ascii_ := text.isascii()) else _ODD.search(text)):
             return None
         if self.added and any(h in text for h in self.heads) and self.added.search(text):
             return None
-        if _BEYOND.search(text):
+        if "'" in text if ascii_ else _BEYOND.search(text):
             return text.split() if self.drops_space else _STRETCH.findall(text)
         # lower case of Latin-1 is the tokenizer's own, and needs no context
         return _FINE_WORDS.findall(text.lower()) if self.drops_space else _FINE.findall(text)
@@ -93,17 +115,27 @@ class Encoder:
         cut = [self._cut(t) for t in texts]
         get = self.cache.get
         found = [None if c is None else list(map(get, c)) for c in cut]
-        new = dict.fromkeys(p for c, f in zip(cut, found, strict=True) if f and None in f for p, x in zip(c, f, strict=True) if x is None)
+        # places of the stretches that the cache lacks
+        lacks, new = [], {}
+        for c, f in zip(cut, found, strict=True):
+            at = []
+            if f and None in f:
+                k = -1
+                for _ in range(f.count(None)):
+                    k = f.index(None, k + 1)
+                    at.append(k)
+                    new[c[k]] = None
+            lacks.append(at)
         fresh = {p: self.old[p] for p in new if p in self.old}
         fresh |= self._new([p for p in new if p not in fresh])
         out = []
-        for t, c, f in zip(texts, cut, found, strict=True):
-            if c is None:
+        for t, c, f, at in zip(texts, cut, found, lacks, strict=True):
+            if f is None:
                 out.append(self._whole(t) if t else b"")
-            elif f and None in f:
-                out.append(b"".join([fresh[p] if x is None else x for p, x in zip(c, f, strict=True)]))
-            else:
-                out.append(b"".join(f))
+                continue
+            for k in at:
+                f[k] = fresh[c[k]]
+            out.append(b"".join(f))
         if len(self.cache) + len(fresh) > self.most // 2:
             self.old, self.cache = self.cache, {}
         self.cache.update((p, f) for p, f in fresh.items() if len(p) <= CACHED_CHARS)
