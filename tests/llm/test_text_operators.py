@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -272,3 +273,146 @@ def test_redaction(spark, docs):
     assert pii.redacted(docs).columns == docs.columns and len(out) == 18
     assert out[12] == "mail [EMAIL] or [PHONE] at [IP] today" and out[0] is None and out[4] == "two words"
     assert out[13] == "card [CARD] and 4111-1111-1111-1112"
+
+
+def brute_signature(text):
+    """All samples of all terms, one by one: the least value's hash of each sample, in hex."""
+
+    def long_hash(x, seed=42):
+        return xxhash.xxh64_intdigest((x & 2**64 - 1).to_bytes(8, "little"), seed)
+
+    def uniforms(h):
+        return ((h >> 40) + 0.5) * ((h >> 16 & 0xFFFFFF) + 0.5) * 2.0**-48
+
+    out, counts = "", collections.Counter(WORD.findall(text or ""))
+    for sample in range(fingerprints.SAMPLES):
+        least = math.inf
+        for word, n in counts.items():
+            term = xxhash.xxh64_intdigest(word.encode(), 42)
+            term = (term - (term >> 63 << 64)) >> fingerprints.WEIGHT_BITS
+            x = xxhash.xxh64_intdigest((sample // fingerprints.GROUP).to_bytes(4, "little"), long_hash(term))
+            i = sample % fingerprints.GROUP
+            h, q = long_hash(x ^ 2 * i), uniforms(long_hash(x ^ 2 * i + 1))
+            r, b = -math.log(uniforms(h)), ((h & 0xFFFF) + 0.5) * 2.0**-16
+            t = math.floor(math.log(n) / r + b)
+            least = min(least, math.log(-math.log(q)) - r * (t - b + 1))
+        out += f"{xxhash.xxh64_intdigest(struct.pack('<d', least), 42) & 0xFFFF:04x}" if counts else "0000"
+    return out
+
+
+def test_fingerprints_are_the_least_of_all_samples(spark):
+    """Logarithms that are left out, and terms that two texts share, change nothing."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, n) % 500) for n in (0, 1, 3, 30, 300, 900)] + [None, "a", "a a a a a"]
+    rows = sorted(((i, t) for i, t in enumerate(texts)), reverse=True)
+    got = {r["doc_id"]: r for r in collected(fingerprints.fingerprinted(spark.createDataFrame(rows, "doc_id bigint, text string")))}
+    same = lambda a, b: sum(a[k : k + 4] == b[k : k + 4] for k in range(0, len(a), 4)) / fingerprints.SAMPLES
+    differ = 0
+    for (i, t), (j, n) in zip(rows, rows[1:] + rows[:1], strict=True):
+        t, n = t or "", n or ""
+        e = t[: len(t) - len(t) // 3] + n[: len(t) // 3]
+        want = [brute_signature(t), brute_signature(e)]
+        # a last bit of a logarithm may differ between the two languages, never more than a few samples
+        differ += sum(x != y for a, b in zip(want, (got[i]["fingerprint"], got[i]["edited_fingerprint"]), strict=True) for x, y in zip(*([s[k : k + 4] for k in range(0, len(s), 4)] for s in (a, b)), strict=True))
+        assert abs(got[i]["near_edited"] - same(*want)) <= 2 / 64
+        assert (got[i]["fingerprint"] == got[j]["fingerprint"]) == (got[i]["near_next"] == 1.0)
+    assert differ <= 0.1 * 2 * 64 * len(rows)
+
+
+def test_many_rows_without_an_id_or_with_one_id_are_split(spark):
+    rows = [(None, f"text {i} of nobody") for i in range(40)] + [(7, f"text {i} of seven") for i in range(40)] + [(i, f"text {i}") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    placed = collected(fingerprints.neighbours(docs, n_ranges=12).filter("NOT extra").select("doc_id", "bucket", "text", "next_text", F.xxhash64("text").alias("tie")))
+    by = collections.defaultdict(set)
+    for r in placed:
+        by[r["doc_id"]].add(r["bucket"])
+    assert len(placed) == 120 and len(by[None]) > 2 and len(by[7]) > 2 and max(collections.Counter(r["bucket"] for r in placed).values()) < 40
+    order = sorted(placed, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["tie"]))
+    for r, nxt in zip(order, order[1:] + order[:1], strict=True):
+        assert r["next_text"] == nxt["text"]
+
+
+def test_very_long_texts_are_walked_in_slabs(monkeypatch):
+    monkeypatch.setattr(simhash, "_SLAB", 37)
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 3, 4, 50, 400):
+        text = "  ".join("Wörd%d" % k for k in rng.integers(0, 90, n)) + "\n" * (n % 3)
+        assert simhash.fingerprint(text) == [brute_fingerprint(text)]
+        words = [w.lower() if w.isascii() else w.replace("W", "w") for w in text.split()]
+        grams = {" ".join(words[k : k + 5]) for k in range(max(1, n - 4))} if n else set()
+        assert simhash.distinct_shingles(text, 5).tolist() == sorted(xxhash.xxh64_intdigest(g.encode(), 42) for g in grams)
+
+
+def test_whole_spans_are_seeds_whatever_they_look_like(spark):
+    """E-mails without digits and phones with blanks induce patterns; names without digits are found in them."""
+    rows = [(i, f"please write to the desk {w}{w}@example.com about this") for i, w in enumerate(("anna", "bert", "carl", "dora", "emil", "finn", "gina", "hugo"))]
+    rows += [(20 + i, f"you may ring us at +44 20 7946 {1000 + 37 * i} or not") for i in range(8)]
+    rows += [(40, "please write to the desk annette.b about this"), (41, "you may ring us at 5526 or not"), (42, "please write to " + "x" * 300 + " the desk later")]
+    got = {r["doc_id"]: r["s"] for r in pii.all_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    for i, what in ((40, "annette.b"), (41, "5526")):
+        at = dict(rows)[i].index(what)
+        assert got[i] == f"context:{at}:{at + len(what)}"
+    assert got[42] == "" and all(got[i].count(":") == 2 for i in [*range(8), *range(20, 28)])
+
+
+def test_context_words_are_whole(spark):
+    long = "w" * 500
+    rows = [(i, f"{long}a {x}@example.com end") for i, x in enumerate("abcdefgh")] + [(20, f"{long}b maybe end"), (21, f"{long}a maybe end")]
+    got = {r["doc_id"]: r["spans"] for r in pii.all_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(got[20]) == 0 and len(got[21]) == 1
+
+
+def brute_scores(edges, rounds=200):
+    """The scores of patterns by plain loops, until nothing moves."""
+    by_p, by_i = collections.defaultdict(list), collections.defaultdict(list)
+    for p, i, seed in edges:
+        by_p[p].append((i, seed))
+        by_i[i].append(p)
+    score = {i: float(seed) for _, i, seed in edges}
+    for _ in range(rounds):
+        sure = {p: sum(score[i] for i, _ in xs) / (len(xs) + 1) for p, xs in by_p.items()}
+        score = {i: score[i] if any(s for p in ps for j, s in by_p[p] if j == i) else sum(sure[p] for p in ps) / (len(ps) + 1) for i, ps in by_i.items()}
+    return sure
+
+
+def test_scores_settle_near_the_fixed_point(spark):
+    rng = np.random.default_rng(4)
+    seeds = {i: bool(rng.random() < 0.4) for i in range(60)}
+    edges = sorted({(int(p), int(i), seeds[int(i)]) for p, i in zip(rng.integers(0, 12, 300), rng.integers(0, 60, 300), strict=True)})
+    got = {r["pattern"]: (r["sure"], r["support"]) for r in pii.scored(spark.createDataFrame(edges, "pattern bigint, instance bigint, seed boolean"), rounds=40, settled=1e-6).collect()}
+    want = brute_scores(edges)
+    assert all(abs(got[p][0] - want[p]) < 1e-4 and got[p][1] == sum(s for q, _, s in edges if q == p) for p in want)
+    lone = [(1, i, i < 9) for i in range(18)]  # nine seeds, nine others in this pattern alone
+    sure = pii.scored(spark.createDataFrame(lone, "pattern bigint, instance bigint, seed boolean"), settled=1e-6).first()["sure"]
+    assert abs(sure - 9 / (9 + 4.5 + 1)) < 1e-3
+
+
+def test_sources_are_ranked_in_ranges(spark):
+    per = spark.createDataFrame([(f"s{i:03d}", i) for i in range(100)] + [(None, 5)], "source string, source_size bigint")
+    got = sorted((r["rank"], r["source"]) for r in mixing.ranked(per, range_rows=7).collect())
+    assert got == [(i, f"s{i:03d}") for i in range(100)] + [(100, None)]
+
+
+def test_few_labels_and_one_label(spark):
+    """Few labelled rows are trained as long as many, and uneven labels weigh the same."""
+    few = [(i, f"the quick brown fox number {i} jumps over the lazy dog " * 5, 1) for i in range(40)] + [(100 + i, f"BUY!! NOW!! CHEAP!! OFFER!! {i} " * 8, 0) for i in range(6)]
+    docs = spark.createDataFrame(few, "doc_id bigint, text string, quality int")
+    model = quality.train([t.encode() for _, t, _ in few], [y for *_, y in few])
+    out = quality.scored(docs, model).collect()
+    assert all((r["score"] >= quality.THRESHOLD) == (r["quality"] == 1) for r in out)
+    alone = quality.train([t.encode() for _, t, _ in few[:40]], [1] * 40, epochs=1)
+    assert all(r["score"] > 0.5 for r in quality.scored(docs.filter("quality = 1"), alone).collect())
+
+
+def test_tables_of_a_scope_are_deleted(spark):
+    import os
+
+    from pseudora.llm import common
+
+    at = lambda t: t._pseudora_path.removeprefix("file:")
+    with common.scratch():
+        with common.scratch() as keep:
+            a, b = common.written(spark.range(3), "a"), common.written(spark.range(3), "b")
+            keep(b)
+        assert not os.path.exists(at(a)) and b.count() == 3
+    assert not os.path.exists(at(b))
