@@ -9,7 +9,10 @@ mixing      documents go in the number of copies that their source's target give
 packing     the rest, cut into pieces, with their places in sequences of 2048 tokens
 
 Rows of `documents` may have nulls in any column and columns beyond its own; all are kept
-as they are (but for masked texts) up to the last stage. Empty tables pass through."""
+as they are (but for masked texts) up to the last stage. Null and empty texts are scored,
+linked and packed like any other; texts of any length go through whole; rows equal in id and
+text are one document for near_dedup, and are mixed alike. Empty tables pass through. Tables
+that a stage makes are deleted when no later plan reads them."""
 
 from __future__ import annotations
 
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pseudora.llm import mixing, packing, pii, quality, simhash
-from pseudora.llm.common import new_path, written
+from pseudora.llm.common import new_path, scratch, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +34,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of rows equal in id and text one stays; of different texts of a group under the smallest
     id, that with the smallest hash. Groups are apart even where their ids are null or equal."""
-    groups = written(simhash.near_duplicates(docs, **simhash.WIDE), "dedup")
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = first.groupBy("root", F.col("component_id").alias("dedup__id")).agg(F.min("key").alias("dedup__key"), F.count(F.lit(1)).alias("n"))
-    keep = written(keep, "dedup-keep")
+    with scratch() as keep_table:
+        groups = written(simhash.near_duplicates(docs, **simhash.WIDE), "dedup")
+        first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        keep = first.groupBy("root", F.col("component_id").alias("dedup__id")).agg(F.min("key").alias("dedup__key"), F.count(F.lit(1)).alias("n"))
+        keep = written(keep, "dedup-keep")
+        keep_table(keep)
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     kept = docs.join(
         keep.select("dedup__id", "dedup__key"), docs["doc_id"].eqNullSafe(F.col("dedup__id")) & (key == F.col("dedup__key")), "left_semi"
@@ -51,8 +56,10 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents as the mix takes them."""
-    mixed = mixing.mix(docs).select(F.col("doc_id").alias("mix__id"), F.col("source").alias("mix__source"), F.col("copies").alias("mix__copies")).distinct()
-    mixed = written(mixed, "mixed")
+    with scratch() as keep:
+        mixed = mixing.mix(docs).select(F.col("doc_id").alias("mix__id"), F.col("source").alias("mix__source"), F.col("copies").alias("mix__copies"))
+        mixed = written(mixed.distinct(), "mixed")
+        keep(mixed)
     same = docs["doc_id"].eqNullSafe(F.col("mix__id")) & docs["source"].eqNullSafe(F.col("mix__source"))
     copies = F.when(F.col("mix__copies") > 0, F.sequence(F.lit(1), F.col("mix__copies").cast("int"))).otherwise(F.array().cast("array<int>"))
     return docs.join(mixed, same).withColumn("mix__copy", F.explode(copies)).select(*docs.columns)
@@ -80,6 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, "stage-" + "-".join(name.lower().split()))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch():
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
