@@ -3,22 +3,22 @@
 Base spans (email, ip, card, phone) are found in each text's own row, with possessive
 patterns whose cost is linear even in very long runs of letters or digits.
 
-The method on top starts from them as seeds. A text is read as tokens; each base span is one
-token, and a seed, with the words around the whole span as its context. Contexts are lexical
-patterns: the words on either side, and the three words before. Patterns that at least SUPPORT
-distinct seeds share are the ones that seeds induce, and every token of every text that stands
-in one of them is an instance, whatever it looks like. Spark scores the graph of patterns and
-instances in rounds: a pattern is as sure as its distinct instances are on average, with one
-doubtful instance more; a seed is sure, any other instance as sure as its patterns are on
-average, with one doubtful pattern more. Scores rise from round to round, and the rounds end
-when no pattern moves by more than SETTLED. A pattern of S seeds and U others that stand in it
-alone so settles at S / (S + U / 2 + 1): five seeds reach CONFIDENCE with up to two others,
-thirty with up to twenty-three. What else stands in a pattern that sure is found as a span of
-kind "context". Contexts left out are those of fewer seeds, and those that mostly hold other
-words.
-
-Only instances of induced patterns leave a text's own row; patterns reach the texts as a
-broadcast if they are few by count and bytes, else the join shuffles and splits hot patterns.
+The method on top starts from them as seeds. Each base span is one token, and a seed, with the
+words around the whole span as its context; so is every other token shaped like an identifier:
+one with a digit, an at sign, an underscore, or a mark between two letters. (Plain words are no
+instances: to try all tokens in all contexts that five seeds share took 3,700 CPU seconds a GB.)
+Contexts are lexical patterns: the words on either side, and the three words before. Spark
+scores the graph of patterns and instances in rounds: a pattern is as sure as its distinct
+instances are on average, with one doubtful instance more; a seed is sure, any other instance
+as sure as its patterns are on average, with one doubtful pattern more. Scores rise from round
+to round, and the rounds end when no pattern moves by more than SETTLED. Patterns of SUPPORT
+distinct seeds or more count. One of S seeds and U others that stand in it alone settles at
+S / (S + U / 2 + 1): five seeds reach CONFIDENCE with up to two others, thirty with up to
+twenty-three. What else stands in a pattern that sure is found as a span of kind "context".
+Contexts left out are those of fewer seeds, and those that mostly hold other identifiers.
+
+Only narrow rows of tokens are shuffled; scores are grouped with partial aggregation and
+joined back as broadcasts if few by count and bytes, else as skew-splitting joins.
 
 Defined results: null texts are empty and have no spans; the digest of no spans is that of
 the empty string; texts of any length are read whole, in time linear in their length and, for
@@ -46,20 +46,26 @@ PATTERNS = {
 }
 #: A cheap test that a text can hold a kind at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
-#: So many induced patterns, of 8 bytes each, may be broadcast.
-PATTERN_ROWS = 1_000_000
 #: Rounds at most, seeds of a pattern at least, how sure a pattern is that discovers, and when scores have settled.
 ROUNDS, SUPPORT, CONFIDENCE, SETTLED = 12, 5, 0.7, 0.01
-#: What parts tokens, beside white space; dots at their end are no part of them.
-_BREAKS = " \t\n\x0b\x0c\r,;:!?()[]{}<>\"'"
+#: What parts tokens, beside white space; dots at their end are no part of them. One by one, as Java's
+#: classes are slow for ranges and for characters beyond Latin-1.
+_BREAKS = r" \t\n\x0B\f\r,;:!?()\[\]{}<>\"'"
+_WORDS = rf"[^{_BREAKS}]+"
 #: Characters of base spans, and what stands for them in a text of tokens: private characters that keep
 #: a span one token, tell it from others, and are taken out of the text before.
 _SPAN_CHARS = "0123456789@ ()"
 _PRIVATE = "".join(chr(0xF8D0 + k) for k in range(len(_SPAN_CHARS)))
+_MARKED = f"[{_PRIVATE[0]}-{_PRIVATE[-1]}]"
+#: Tokens shaped like identifiers, tried once a token: with a mark of identity after what has none.
+_PLAIN = rf"[^{_BREAKS}0123456789@_.+%\-{_PRIVATE[0]}-{_PRIVATE[-1]}]"
+CANDIDATE = rf"(?<![^{_BREAKS}])(?:{_PLAIN}*+(?:[0123456789@_]|{_MARKED}|(?<=[A-Za-z])[.+%\-](?=[A-Za-z])|[.+%\-]++(?=[^{_BREAKS}]*?[0123456789@_])))[^{_BREAKS}]*+"
+#: Code points beside a token in which its context words are looked for first; where they do not show whole, in all of the text.
+REACH = 160
 
 
-def found(text: Column, pattern: str) -> Column:
-    """array of (start, end, value) of all matches, in code points.
+def found(text: Column, pattern: str, more=None) -> Column:
+    """array of (start, end, value) of all matches, in code points, and of what more(pieces, matches, i) adds.
 
     The text is split at the matches; places are running sums of the lengths."""
 
@@ -71,7 +77,7 @@ def found(text: Column, pattern: str) -> Column:
                 matches,
                 lambda m, i: let(
                     F.get(at, i) + F.length(F.get(pieces, i)),
-                    lambda s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")),
+                    lambda s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value"), *(more(pieces, matches, i) if more else ())),
                 ),
             )
 
@@ -126,17 +132,13 @@ def base_spans(text: Column) -> dict[str, Column]:
     return out
 
 
-def texts_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, key (hash of the text), text, and the base spans of each kind."""
+def rows_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id, key (hash of the text), n_<kind>, base (sorted spans), candidates: a narrow row per document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    return rows.select("doc_id", F.xxhash64("text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-
-
-def rows_of(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, key (hash of the text), n_<kind>, base (sorted spans): a narrow row per document."""
-    rows = texts_of(docs, id_col, text_col)
-    return rows.select("doc_id", "key", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS], F.array_sort(F.concat(*KINDS)).alias("base"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+    rows = rows.select("doc_id", "key", "text", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS], F.array_sort(F.concat(*KINDS)).alias("base"))
+    return rows.select("doc_id", "key", *[f"n_{k}" for k in KINDS], "base", candidates(F.col("text"), F.col("base")).alias("candidates"))
 
 
 def woven(text: Column, spans: Column, gap, span) -> Column:
@@ -156,35 +158,34 @@ def woven(text: Column, spans: Column, gap, span) -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, whole)).otherwise(gap(text))
 
 
-def tokens(text: Column, spans: Column) -> Column:
-    """array of (start, end, h, seed): the tokens of a text, in code points, with a hash of their lower
-    case, and whether a token is, or holds, a base span."""
-    plain = lambda t: F.translate(t, _BREAKS + _PRIVATE, " " * len(_BREAKS + _PRIVATE))
-    own = lambda t, k, new: F.translate(t, _SPAN_CHARS, _PRIVATE)
-    seed = lambda p: p.rlike(f"[{_PRIVATE}]")
-
-    def placed(pieces: Column) -> Column:
-        return F.zip_with(
-            pieces,
-            prefix_sums(F.transform(pieces, lambda p: (F.length(p) + 1).cast("bigint"))),
-            lambda p, at: let(F.rtrim(p, F.lit(".")), lambda q: F.struct(at.alias("start"), (at + F.length(q)).alias("end"), F.xxhash64(F.lower(q)).alias("h"), seed(q).alias("seed"))),
-        )
-
-    return F.filter(let(F.split(woven(text, spans, plain, own), " "), placed), lambda x: x["end"] > x["start"])
+def candidates(text: Column, spans: Column) -> Column:
+    """array of (start, end, instance, seed, both, left): the tokens of a text that are shaped like identifiers,
+    base spans among them as seeds, with hashes of their lower case and of their contexts; null if there are none."""
+    clean = F.when(text.rlike(_MARKED), F.translate(text, _PRIVATE, " " * len(_PRIVATE))).otherwise(text)
+    marked = woven(clean, spans, lambda t: t, lambda t, k, new: F.translate(t, _SPAN_CHARS, _PRIVATE))
+    split = lambda t: F.regexp_extract_all(t, F.lit(_WORDS), F.lit(0))
+    plain = lambda w: F.rtrim(F.lower(w), F.lit("."))
+
+    def contexts(pieces: Column, matches: Column, i: Column) -> list[Column]:
+        before = F.concat(F.coalesce(F.get(matches, i - 1), F.lit("")), F.get(pieces, i))
+        after = F.concat(F.get(pieces, i + 1), F.coalesce(F.get(matches, i + 1), F.lit("")))
+        # the outermost word of a part may be cut: one more than is needed shows that the others are whole
+        near = let(before, lambda t: let(split(F.right(t, F.lit(REACH))), lambda w: F.when((F.size(w) > 3) | (F.length(t) <= REACH), w).otherwise(split(t))))
+        far = let(after, lambda t: let(split(F.left(t, F.lit(REACH))), lambda w: F.when((F.size(w) > 1) | (F.length(t) <= REACH), w).otherwise(split(t))))
+        last = lambda w, k: plain(F.get(w, F.size(w) - k))
+        both = let(near, lambda w: F.when(F.size(w) > 0, last(w, 1)))
+        right = let(far, lambda w: plain(F.get(w, F.lit(0))))
+        three = let(near, lambda w: F.when(F.size(w) > 2, F.xxhash64(last(w, 3), last(w, 2), last(w, 1))))
+        return [let(both, lambda x: let(right, lambda y: F.when(x.isNotNull() & y.isNotNull(), F.xxhash64(x, y)))).alias("both"), three.alias("left")]
+
+    def candidate(x: Column) -> Column:
+        value = F.rtrim(x["value"], F.lit("."))
+        return F.struct(
+            x["start"].alias("start"), (x["start"] + F.length(value)).alias("end"), F.xxhash64(F.lower(value)).alias("instance"),
+            value.rlike(_MARKED).alias("seed"), x["both"].alias("both"), x["left"].alias("left"),
+        )
 
-
-def occurrences(texts: DataFrame) -> DataFrame:
-    """doc_id, key, start, end, instance, seed, pattern: every token in each of its contexts."""
-    rows = texts.withColumn("base", F.array_sort(F.concat(*KINDS)))
-    rows = rows.select("doc_id", "key", tokens(F.col("text"), F.col("base")).alias("k"))
-    rows = rows.select("doc_id", "key", "k", F.size("k").alias("n"), F.explode(F.sequence(F.lit(0), F.greatest(F.size("k") - 1, F.lit(0)))).alias("i"))
-    word = lambda d: F.get("k", F.col("i") + d)["h"]
-    both = F.when((F.col("i") > 0) & (F.col("i") < F.col("n") - 1), F.xxhash64(word(-1), word(1)))
-    left = F.when(F.col("i") > 2, F.xxhash64(word(-3), word(-2), word(-1)))
-    here = F.get("k", F.col("i"))
-    rows = rows.filter("n > 0").select("doc_id", "key", here["start"].alias("start"), here["end"].alias("end"), here["h"].alias("instance"), here["seed"].alias("seed"), both.alias("both"), left.alias("left"))
-    held = ["doc_id", "key", "start", "end", "instance", "seed"]
-    return rows.select(*held, F.explode(F.array("both", "left")).alias("pattern")).filter("pattern IS NOT NULL")
+    return F.when(marked.rlike(CANDIDATE), let(marked, lambda t: F.transform(found(t, CANDIDATE, contexts), candidate)))
 
 
 def scored(edges: DataFrame, rounds=ROUNDS, settled=SETTLED) -> DataFrame:
@@ -209,33 +210,32 @@ def scored(edges: DataFrame, rounds=ROUNDS, settled=SETTLED) -> DataFrame:
     return patterns
 
 
-def discovered(docs: DataFrame, rows: DataFrame, id_col="doc_id", text_col="text", rounds=ROUNDS, support=SUPPORT, confidence=CONFIDENCE) -> DataFrame:
-    """doc_id, key, start, end of the spans that sure patterns find beyond the base ones of rows."""
-    texts = texts_of(docs, id_col, text_col)
-    nothing = rows.select("doc_id", "key", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end")).limit(0)
-    seeds = occurrences(texts.filter(F.size(F.concat(*KINDS)) > 0)).filter("seed").select("pattern", "instance").distinct()
-    induced = written(seeds.groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= support).select("pattern"), "pii-induced")
-    if induced.isEmpty():
-        return nothing
-    hits = written(occurrences(texts).join(small(induced, PATTERN_ROWS), "pattern", "left_semi"), "pii-hits")
+def discovered(rows: DataFrame, rounds=ROUNDS, support=SUPPORT, confidence=CONFIDENCE) -> DataFrame:
+    """doc_id, key, start, end of the spans that sure patterns find beyond the base ones."""
+    seen = rows.filter(F.size("candidates") > 0).select("doc_id", "key", F.explode("candidates").alias("c")).select("doc_id", "key", "c.*")
+    held = ["doc_id", "key", "start", "end", "instance", "seed"]
+    seen = written(seen.select(*held, F.explode(F.array("both", "left")).alias("pattern")).filter("pattern IS NOT NULL"), "pii-seen")
     # an instance that is a seed anywhere is one everywhere
-    edges = hits.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    known = hits.filter("seed").select(F.col("instance").alias("i2")).distinct().withColumn("is", F.lit(True))
-    edges = written(edges.join(known, F.col("instance") == F.col("i2"), "left").select("pattern", "instance", F.coalesce("is", F.lit(False)).alias("seed")), "pii-edges")
+    known = written(seen.filter("seed").select(F.col("instance").alias("i2")).distinct().withColumn("is", F.lit(True)), "pii-seeds")
+    edges = seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")).join(small(known), F.col("instance") == F.col("i2"), "left")
+    edges = written(edges.select("pattern", "instance", F.coalesce("is", F.lit(False)).alias("seed")), "pii-edges")
+    # patterns of fewer seeds cannot be sure enough, nor lend what they do not have
+    shared = written(edges.groupBy("pattern").agg(F.count_if("seed").alias("n")).filter(F.col("n") >= support).select("pattern"), "pii-shared")
+    edges = written(edges.join(small(shared), "pattern", "left_semi"), "pii-edges")
     sure = scored(edges, rounds).filter((F.col("support") >= support) & (F.col("sure") >= confidence)).select("pattern")
-    return hits.filter("NOT seed").join(small(written(sure, "pii-sure")), "pattern", "left_semi").select("doc_id", "key", "start", "end").distinct()
+    return seen.filter("NOT seed").join(small(written(sure, "pii-sure")), "pattern", "left_semi").select("doc_id", "key", "start", "end").distinct()
 
 
 def all_spans(docs: DataFrame, id_col="doc_id", text_col="text", **limits) -> DataFrame:
     """doc_id, key, n_<kind>, base, spans: base and discovered spans, sorted."""
     with scratch() as keep:
         rows = written(rows_of(docs, id_col, text_col), "pii")
-        extra = discovered(docs, rows, id_col, text_col, **limits).groupBy(F.col("doc_id").alias("d2"), F.col("key").alias("key2")).agg(
+        extra = discovered(rows, **limits).groupBy(F.col("doc_id").alias("d2"), F.col("key").alias("key2")).agg(
             F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("k"), "end")).cast(_SPANS).alias("extra")
         )
         extra = written(extra, "pii-extra")
         keep(rows, extra)
-        got = rows.join(small(extra), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("key") == F.col("key2")), "left")
+        got = rows.drop("candidates").join(small(extra), F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("key") == F.col("key2")), "left")
         spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(_SPANS))))
         return got.withColumn("spans", spans).drop("d2", "key2", "extra")
 
