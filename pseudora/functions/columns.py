@@ -125,7 +125,14 @@ def register(spark, salt: str) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION synthetic_phone(k STRING) RETURNS STRING "
         "RETURN concat('04', lpad(CAST(CAST(conv(substring(sha2(concat('phone|', k), 256), 1, 8), 16, 10) AS BIGINT) % 100000000 AS STRING), 8, '0'))"
     )
+    digest = f"sha2(concat('{safe}|', lower(o), '|', attempt), 256)"
+    n = f"least(greatest(max_len, {LEAST_ID}), {MOST_ID})"
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION obfuscated_user_id(o STRING, attempt INT) RETURNS STRING "
-        f"RETURN concat(substring(sha2(concat('{safe}|', lower(o), '|', attempt), 256), 1, 17), '.', substring(sha2(concat('{safe}|', lower(o), '|', attempt), 256), 18, 16))"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION obfuscated_user_id(o STRING, attempt INT, max_len INT DEFAULT {MOST_ID}) RETURNS STRING "
+        f"RETURN concat(substring({digest}, 1, ({n} + 1) div 2), '.', substring({digest}, ({n} + 1) div 2 + 1, {n} div 2))"
+    )
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION quote_identifier(s STRING) RETURNS STRING RETURN concat('`', replace(s, '`', '``'), '`')")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION quote_qualified(s STRING, t STRING) RETURNS STRING "
+        "RETURN concat('`', replace(s, '`', '``'), '`.`', replace(t, '`', '``'), '`')"
     )

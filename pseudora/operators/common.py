@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast up to so many bytes by the optimizer's estimate.
-BROADCAST_BYTES = 64 << 20
+#: A side of a join is broadcast up to so many bytes by the optimizer's estimate, which counts files
+#: as they are compressed; its hash table takes several times that.
+BROADCAST_BYTES = 16 << 20
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -30,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")
     if not at:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='pseudora-')}"
         sc.setCheckpointDir(at)

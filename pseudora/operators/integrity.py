@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import norm
+from .rewrite import is_string
+
 
 def definitions(foreign_keys: DataFrame, user_table: str) -> DataFrame:
     """One row per key to the user table, columns listed in order."""
@@ -21,6 +24,11 @@ def violations(child: DataFrame, columns: list[str], parent: DataFrame, ref_colu
     keys = parent.select(*[F.col(f"`{r}`").alias(n) for r, n in zip(ref_columns, names, strict=True)]).distinct()
     on, whole = F.lit(True), F.lit(True)
     for c, n in zip(columns, names, strict=True):
-        on = on & (F.rtrim(F.lower(F.col(f"`{c}`").cast("string"))) == F.rtrim(F.lower(F.col(n).cast("string"))))
+        same = F.col(f"`{c}`") == F.col(n)
+        if is_string(child, c) and is_string(keys, n):  # ids compare by case and trailing blanks, numbers as they are
+            same = norm(F.col(f"`{c}`")) == norm(F.col(n))
+        elif is_string(child, c) != is_string(keys, n):
+            same = F.col(f"`{c}`").cast("string") == F.col(n).cast("string")
+        on = on & same
         whole = whole & F.col(f"`{c}`").isNotNull()
     return child.filter(whole).join(keys, on, "left_anti")

@@ -50,12 +50,16 @@ def extend(new: DataFrame, mapping: DataFrame, salt: str, max_len: int, attempts
     return out
 
 
-def build(users: DataFrame, id_col: str, mapping: DataFrame, salt: str, width: int, attempts: int = 5) -> DataFrame:
-    """The mapping with rows for all users that it lacks. Ids that are obfuscated already stay as they are."""
+def fresh(users: DataFrame, id_col: str, mapping: DataFrame, salt: str, width: int, attempts: int = 5) -> DataFrame:
+    """Rows for all users that the mapping lacks. Ids that are obfuscated already need none."""
     if not case_duplicates(users, id_col).isEmpty():
         raise ObfuscationError("user ids that differ only by case cannot be mapped one to one")
-    new = unmapped(users, id_col, mapping)
-    return mapping.select("original_user_id", "obfuscated_user_id").union(extend(new, mapping, salt, max(width - 1, 8), attempts))
+    return extend(unmapped(users, id_col, mapping), mapping, salt, max(width - 1, 8), attempts)
+
+
+def build(users: DataFrame, id_col: str, mapping: DataFrame, salt: str, width: int, attempts: int = 5) -> DataFrame:
+    """The mapping with rows for all users that it lacks."""
+    return mapping.select("original_user_id", "obfuscated_user_id").union(fresh(users, id_col, mapping, salt, width, attempts))
 
 
 def purge(mapping: DataFrame) -> DataFrame:

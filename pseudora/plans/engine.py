@@ -12,7 +12,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_pools
@@ -79,16 +79,18 @@ class Engine:
         return {"FIRST_NAME": get("first_name"), "LAST_NAME": get("last_name"), "ADDRESS": get("address")}
 
     def mapping(self) -> DataFrame:
-        return self.store.read("mapping").filter(F.col("target_schema") == self.target.name)
+        return self.store.read("mapping", self.target.name)
 
     def put_mapping(self, rows: DataFrame) -> None:
-        """rows: the whole (original, obfuscated) mapping of this target."""
-        old = self.mapping().select("original_user_id", F.col("obfuscated_user_id").alias("x"), "created_date")
-        mine = rows.join(old, (rows["obfuscated_user_id"] == old["x"]), "left").select(
-            F.lit(self.target.name).alias("target_schema"), rows["original_user_id"], "obfuscated_user_id", F.coalesce("created_date", F.lit(now())).alias("created_date")
-        )
-        rest = self.store.read("mapping").filter(F.col("target_schema") != self.target.name)
-        self.store.replace("mapping", rest.unionByName(mine))
+        """rows: the whole (original, obfuscated) mapping of this target, with the dates that it has."""
+        date = F.col("created_date") if "created_date" in rows.columns else F.lit(now())
+        mine = rows.select(F.lit(self.target.name).alias("target_schema"), "original_user_id", "obfuscated_user_id", F.coalesce(date, F.lit(now())).alias("created_date"))
+        self.store.replace("mapping", mine, self.target.name)
+
+    def add_mapping(self, new: DataFrame) -> None:
+        """Enters rows (original, obfuscated) that the mapping lacks."""
+        held = self.mapping().select("original_user_id", "obfuscated_user_id", "created_date")
+        self.put_mapping(held.unionByName(new.withColumn("created_date", F.lit(now()))))
 
     def configure(self, table: str, column: str, kind: str, value: str | None = None, enabled: bool = True) -> None:
         row = {"target_schema": self.target.name, "table_name": table, "column_name": column, "obfuscation_type": kind, "static_value": value, "enabled": enabled}
@@ -211,11 +213,12 @@ class Engine:
     def create_mapping(self, salt: str) -> None:
         users = self.target.table(self.config.user_table)
         try:
-            rows = kept(mapping.build(users, self.config.user_key, self.mapping(), salt, self.user_width(), self.config.attempts))
+            new = kept(mapping.fresh(users, self.config.user_key, self.mapping(), salt, self.user_width(), self.config.attempts))
         except ObfuscationError as e:
             self.stop("map", str(e), e.sqlstate)
-        self.put_mapping(rows)
-        self.log("map", "OK", f"{rows.count()} mapped user(s).")
+        added = new.count()
+        self.add_mapping(new)
+        self.log("map", "OK", f"{self.mapping().count()} mapped user(s), {added} of them new.")
 
     def report_orphans(self) -> DataFrame:
         refs = [(r["table_name"], r["column_name"], r["orphan_action"]) for r in self.references()]
@@ -236,14 +239,16 @@ class Engine:
                 self.log("orphan_resolve", "SKIP", f"{at}: orphans are left as they are.")
             elif r["orphan_action"] == "NULLIFY":
                 nulls.append((r["table_name"], r["column_name"]))
-        new = found.filter("orphan_action = 'OBFUSCATE'")
+        # columns that hold no strings are never rewritten, so their values need no id
+        strings = [f"{r['table_name']}.{r['column_name']}" for r in self.references() if rewrite.is_string(self.target.table(r["table_name"]), r["column_name"])]
+        new = found.filter((F.col("orphan_action") == "OBFUSCATE") & F.concat("table_name", F.lit("."), "column_name").isin(strings))
         keys = mapping.unmapped(new, "orphan_value", self.mapping())
         if not keys.isEmpty():
             try:
                 more = kept(mapping.extend(keys, self.mapping(), salt, max(self.user_width() - 1, 8), self.config.attempts))
             except ObfuscationError as e:
                 self.stop("orphan_resolve", str(e), e.sqlstate)
-            self.put_mapping(kept(self.mapping().select("original_user_id", "obfuscated_user_id").union(more)))
+            self.add_mapping(more)
         self.log("orphan_resolve", "OK", "Orphan references resolved by policy.")
         return nulls
 
@@ -263,8 +268,7 @@ class Engine:
             if t == name:
                 df = rewrite.nullify(df, c, ids)
         refs = [r for r in self.references() if r["table_name"] == name]
-        columns = [r["column_name"] for r in refs if rewrite.is_string(df, r["column_name"]) or not self.config.strict_types]
-        columns = [c for c in columns if rewrite.is_string(df, c)]
+        columns = [r["column_name"] for r in refs if rewrite.is_string(df, r["column_name"])]
         if name == self.config.user_table and self.config.user_key not in columns:
             columns.append(self.config.user_key)
         df = rewrite.rewrite_ids(df, columns, ids)
@@ -288,7 +292,12 @@ class Engine:
 
     def rewrite_tables(self, nulls: list[tuple[str, str]], salt: str) -> None:
         """Stages every touched table in one pass each, and commits them together."""
-        staged = {n: self.target.stage(n, self.plan_table(n, nulls, salt, True), self.run_id, "rewrite") for n in self.touched()}
+        staged = {}
+        for n in self.touched():
+            seen = Observation()
+            plan = self.plan_table(n, nulls, salt, True).observe(seen, F.count(F.lit(1)).alias("rows"))
+            staged[n] = self.target.stage(n, plan, self.run_id, "rewrite")
+            self.log("references", "OK", f"{n}: {seen.get['rows']} row(s) written.")
         self.target.commit(staged, self.run_id)
         for step in ("references", "users", "columns"):
             self.log(step, "OK", f"{len(staged)} table(s) rewritten in one pass each.")
@@ -316,7 +325,10 @@ class Engine:
             self.run_id = str(uuid.uuid4())
         ids, bad_refs, bad_counts, bad_values = self.mapping(), 0, 0, 0
         for r in self.references():
-            if r["orphan_action"] == "IGNORE" or not rewrite.is_string(self.target.table(r["table_name"]), r["column_name"]):
+            if r["orphan_action"] == "IGNORE":
+                continue
+            if not rewrite.is_string(self.target.table(r["table_name"]), r["column_name"]) and not self.config.strict_types:
+                self.log("validate", "SKIP", f"{r['table_name']}.{r['column_name']} holds no strings: not rewritten and not checked.")
                 continue
             n = validation.unknown_references(self.target.table(r["table_name"]), r["column_name"], ids).count()
             if n:
@@ -357,7 +369,7 @@ class Engine:
         return counts
 
     def purge(self) -> None:
-        self.put_mapping(kept(mapping.purge(self.mapping().select("original_user_id", "obfuscated_user_id"))))
+        self.put_mapping(kept(mapping.purge(self.mapping())))
         self.log("purge", "OK", "Original ids are purged from the mapping.")
 
     # -- the run -------------------------------------------------------------------
@@ -368,9 +380,7 @@ class Engine:
         self.mark("Started OBF")
         runs = self.store.rows("run")
         previous = max((r for r in runs if r["target_schema"] == name), key=lambda r: r["started_at"], default=None)
-        for r in runs:
-            if r["target_schema"] == name and r["status"] == "RUNNING":
-                r |= {"status": "SUPERSEDED", "finished_at": now()}
+        self.supersede(runs)
         self.store.put("fk_backup", [r for r in self.store.rows("fk_backup") if r["target_schema"] != name or r["restored_date"] is None])
         dangling = len(self.own("fk_backup"))
         resuming = dangling > 0 or (previous is not None and previous["status"] in ("FAILED", "SUPERSEDED"))
@@ -424,6 +434,13 @@ class Engine:
             raise
         return report
 
+    def supersede(self, runs: list[dict]) -> list[dict]:
+        """Marks runs of this target that never ended."""
+        for r in runs:
+            if r["target_schema"] == self.target.name and r["status"] == "RUNNING":
+                r |= {"status": "SUPERSEDED", "finished_at": now()}
+        return runs
+
     def _finish(self, status: str, sqlstate: str | None = None, text: str | None = None) -> None:
         rows = self.store.rows("run")
         for r in rows:

@@ -65,6 +65,7 @@ class EngineConfig:
     deletion_prefixes: tuple[str, ...] = ("dapDel_", "casDel_", "payDel_")
     reporting_prefixes: tuple[str, ...] = ("dap_rpt_", "dap_mv_")
     attempts: int = 5
+    #: Whether references that hold no strings, which are never rewritten, fail the run or are logged as skipped.
     strict_types: bool = False
 
 

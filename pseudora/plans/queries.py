@@ -6,13 +6,18 @@ applies its operator to whole tables; metadata operators run over a model given
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import discovery, integrity, mapping, orphans, preflight, rewrite, truncation, validation
-from ..operators.common import empty
-from .model import STRING_LIKE, EngineConfig
+from ..operators.common import empty, shared_dir
+from ..sources.store import Store, Target
+from .engine import ASSESSMENTS, Engine
+from .model import STRING_LIKE, ColumnInfo, EngineConfig, ForeignKey, ObfuscationError, SchemaModel, Table
 
 SALT, WIDTH = "test-salt-001", 255
 POOLS = C.default_pools()
@@ -361,9 +366,11 @@ def _(spark, sf):
 # -- a model for the metadata operators ---------------------------------------------------
 
 TABLES = [("dap_User", "BASE TABLE"), ("dap_Actor", "BASE TABLE"), ("dap_Note", "BASE TABLE"), ("dap_View", "VIEW"), ("dapDel_Note", "BASE TABLE"), ("dapDeleteMeNot", "BASE TABLE"),
-          ("casDel_Other", "BASE TABLE"), ("payDel_Refund", "VIEW"), ("dap_rpt_Summary", "BASE TABLE"), ("dap_mv_Rollup", "BASE TABLE"), ("dap_mv_Live", "BASE TABLE"), ("dapXrptX", "BASE TABLE")]
+          ("casDel_Other", "BASE TABLE"), ("payDel_Refund", "VIEW"), ("dap_rpt_Summary", "BASE TABLE"), ("dap_mv_Rollup", "BASE TABLE"), ("dap_mv_Live", "BASE TABLE"), ("dapXrptX", "BASE TABLE"),
+          ("dap_Memo", "BASE TABLE")]
 COLUMNS = [("dap_User", "UserID", "varchar", 255), ("dap_User", "Phone", "varchar", 20), ("dap_User", "Code", "varchar", 64), ("dap_Actor", "ActorID", "bigint", None), ("dap_Actor", "UserID", "varchar", 255),
-           ("dap_Actor", "CreatedBy", "varchar", 20), ("dap_Note", "CreatedBy", "bigint", None), ("dap_Note", "ModifiedBy", "varchar", 34), ("dap_Note", "Email", "varchar", 30), ("dap_View", "CreatedBy", "varchar", 255)]
+           ("dap_Actor", "CreatedBy", "varchar", 20), ("dap_Note", "CreatedBy", "bigint", None), ("dap_Note", "ModifiedBy", "varchar", 34), ("dap_Note", "Email", "varchar", 30), ("dap_View", "CreatedBy", "varchar", 255),
+           ("dap_Memo", "CreatedBy", "varchar", 20), ("dap_Memo", "UpdatedBy", "varchar", 33), ("dap_Memo", "ModifiedBy", "varchar", 34)]
 UNIQUE = [("dap_User", "PRIMARY", "UserID", 1), ("dap_User", "uq_phone", "Phone", 1), ("dap_User", "uq_code", "Code", 1), ("dap_Note", "uq_two", "Email", 2), ("dap_Note", "uq_two", "ModifiedBy", 2)]
 FKS = [("FK_Actor_User", "dap_Actor", "UserID", 0, "dap_User", "UserID", "CASCADE", "RESTRICT"), ("FK_Note", "dap_Note", "ModifiedBy", 1, "dap_User", "UserID", "RESTRICT", "SET NULL"),
        ("FK_Note", "dap_Note", "Email", 0, "dap_User", "Phone", "RESTRICT", "SET NULL"), ("FK_Other", "dap_Note", "CreatedBy", 0, "dap_Actor", "ActorID", "RESTRICT", "RESTRICT")]
@@ -460,7 +467,10 @@ def _(spark, sf):
 
 @query("seed_column_choice", _DISCOVERED + "SELECT table_name, arg_min(column_name, (CASE WHEN discovery_method = 'FOREIGN_KEY' THEN '0' ELSE '1' END) || column_name) AS seed_column FROM z WHERE enabled GROUP BY 1")
 def _(spark, sf):
-    return _discovered(spark).filter("enabled").groupBy("table_name").agg(F.min_by("column_name", F.struct(F.col("discovery_method") != "FOREIGN_KEY", "column_name")).alias("seed_column"))
+    found: dict[str, list[tuple[str, str]]] = {}
+    for r in _discovered(spark).filter("enabled").collect():  # a row a reference column
+        found.setdefault(r["table_name"], []).append((r["column_name"], r["discovery_method"]))
+    return spark.createDataFrame([(t, rewrite.seed_column(refs, (), None)[0]) for t, refs in found.items()], "table_name string, seed_column string")
 
 
 # -- R11, R13: preflight -------------------------------------------------------------------
@@ -521,8 +531,9 @@ def _(spark, sf):
 
 @query("row_count_snapshot", f"WITH {U}, {A}, {E} SELECT 'users' AS table_name, count(*) AS rows_counted FROM u UNION ALL SELECT 'actors', count(*) FROM a UNION ALL SELECT 'audits', count(*) FROM e")
 def _(spark, sf):
-    parts = [f(spark, sf).agg(F.count(F.lit(1)).alias("rows_counted")).select(F.lit(n).alias("table_name"), "rows_counted") for n, f in (("users", users), ("actors", actors), ("audits", audits))]
-    return parts[0].union(parts[1]).union(parts[2])
+    e = _engine(spark, sf)
+    e.snapshot("BEFORE")
+    return e.store.read("row_count", "sf").select("table_name", "rows_counted")
 
 
 @query("row_count_reconcile", _with("counts", "exclusions") + "SELECT b.table_name, b.rows_counted AS before, a.rows_counted AS after, b.table_name IN (SELECT table_name FROM exclusions) AS excluded FROM counts b JOIN counts a ON a.table_name = b.table_name AND a.phase = 'AFTER' WHERE b.phase = 'BEFORE' AND a.rows_counted <> b.rows_counted")
@@ -599,33 +610,45 @@ def _(spark, sf):
 # -- R25 to R27: runs ---------------------------------------------------------------------------
 
 
-@query("status_assessment", _with("runs", "fk_state") + """, l AS (SELECT target_schema, arg_max(status, started_at * 1000 + ascii(substr(run_id, 2))) AS status FROM runs GROUP BY 1),
+_ASSESSED = "CASE WHEN n > 0 THEN '{dangling}' ELSE CASE status {others} ELSE '{none}' END END".format(
+    dangling=ASSESSMENTS["dangling"], none=ASSESSMENTS[None], others=" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ASSESSMENTS.items() if k not in ("dangling", None))
+)
+
+
+def _recorded(spark) -> tuple[Store, dict[str, Engine]]:
+    """A store that holds the runs and keys above, and the engine of each target."""
+    store, begin = Store(spark, f"{shared_dir(spark)}/pseudora-store-{uuid.uuid4().hex}"), datetime(2026, 1, 1)
+    store.put("run", [{"run_id": r, "target_schema": t, "status": s, "started_at": begin + timedelta(seconds=k)} for r, t, s, k in RUNS])
+    store.put("fk_backup", [{"run_id": "r5", "target_schema": t, "constraint_name": c, "table_name": "dap_Actor", "dropped_date": begin, "restored_date": begin if done else None} for t, c, done in KEYS])
+    return store, {t: Engine(spark, store, Target(store, t, {}), SchemaModel({})) for t in sorted({r[1] for r in RUNS})}
+
+
+@query("status_assessment", _with("runs", "fk_state") + f""", l AS (SELECT target_schema, arg_max(status, started_at * 1000 + ascii(substr(run_id, 2))) AS status FROM runs GROUP BY 1),
 f AS (SELECT target_schema, count(*) AS n FROM fk_state WHERE NOT restored GROUP BY 1)
-SELECT target_schema, status, coalesce(n, 0) AS dropped, CASE WHEN n > 0 THEN 'HALF-MIGRATED' ELSE status END AS assessment FROM l LEFT JOIN f USING (target_schema)""")
+SELECT target_schema, status, coalesce(n, 0) AS dropped, {_ASSESSED} AS assessment FROM l LEFT JOIN f USING (target_schema)""")
 def _(spark, sf):
-    m = meta(spark)
-    last = m["runs"].groupBy("target_schema").agg(F.max_by("status", F.struct("started_at", "run_id")).alias("status"))
-    open_ = m["fk_state"].filter("NOT restored").groupBy("target_schema").agg(F.count(F.lit(1)).alias("n"))
-    out = last.join(open_, "target_schema", "left")
-    return out.select("target_schema", "status", F.coalesce("n", F.lit(0)).alias("dropped"), F.when(F.col("n") > 0, "HALF-MIGRATED").otherwise(F.col("status")).alias("assessment"))
+    told = [(t, e.status()) for t, e in _recorded(spark)[1].items()]
+    return spark.createDataFrame([(t, x["last_status"], len(x["dropped"]), x["assessment"]) for t, x in told], "target_schema string, status string, dropped bigint, assessment string")
 
 
 @query("prune_keep_newest", _with("runs") + "SELECT run_id, target_schema, status FROM (SELECT *, row_number() OVER (PARTITION BY target_schema ORDER BY started_at DESC, run_id DESC) AS n FROM runs) WHERE n <= 2 OR status = 'RUNNING'")
 def _(spark, sf):
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("target_schema").orderBy(F.desc("started_at"), F.desc("run_id")))
-    return meta(spark)["runs"].withColumn("n", n).filter("n <= 2 OR status = 'RUNNING'").select("run_id", "target_schema", "status")
+    store, engines = _recorded(spark)
+    for e in engines.values():
+        e.prune(2)
+    return store.read("run").select("run_id", "target_schema", "status")
 
 
 @query("latest_runs", _with("runs") + "SELECT run_id, status FROM runs WHERE target_schema = 't' ORDER BY started_at DESC, run_id DESC LIMIT 5")
 def _(spark, sf):
-    return meta(spark)["runs"].filter("target_schema = 't'").orderBy(F.desc("started_at"), F.desc("run_id")).limit(5).select("run_id", "status")
+    return spark.createDataFrame([(r["run_id"], r["status"]) for r in _recorded(spark)[1]["t"].status()["runs"]], "run_id string, status string")
 
 
 @query("supersede_running", _with("runs") + "SELECT run_id, target_schema, CASE WHEN target_schema = 't' AND status = 'RUNNING' THEN 'SUPERSEDED' ELSE status END AS status FROM runs")
 def _(spark, sf):
-    return meta(spark)["runs"].select("run_id", "target_schema", F.when((F.col("target_schema") == "t") & (F.col("status") == "RUNNING"), "SUPERSEDED").otherwise(F.col("status")).alias("status"))
+    store, engines = _recorded(spark)
+    store.put("run", engines["t"].supersede(store.rows("run")))
+    return store.read("run").select("run_id", "target_schema", "status")
 
 
 @query("distinct_pairs", f"WITH {U}, {A} SELECT count(DISTINCT user_id) AS owners, count(DISTINCT (user_id, created_by)) FILTER (created_by IS NOT NULL) AS pairs FROM a")
@@ -633,14 +656,6 @@ def _(spark, sf):
     return actors(spark, sf).agg(F.countDistinct("user_id").alias("owners"), F.countDistinct("user_id", "created_by").alias("pairs"))
 
 
-@query("table_fingerprint", f"WITH {U}, {M} SELECT count(*) AS n, sha256(string_agg(original_user_id || '=' || obfuscated_user_id, ';' ORDER BY original_user_id)) AS fingerprint FROM (SELECT * FROM m WHERE original_user_id < 'user.000200')")
-def _(spark, sf):
-    """The ordered digest of a bounded part of the mapping, as tests of a run use it."""
-    part = base_mapping(spark, sf).filter("original_user_id < 'user.000200'")
-    pairs = F.transform(F.array_sort(F.collect_list(F.struct("original_user_id", "obfuscated_user_id"))), lambda x: F.concat(x["original_user_id"], F.lit("="), x["obfuscated_user_id"]))
-    return part.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(pairs, ";"), 256).alias("fingerprint"))
-
-
 _HASHES = "('0x' || substr(md5(original_user_id || '=' || obfuscated_user_id), {}, 15))::BIGINT"
 
 
@@ -652,9 +667,9 @@ def mapping_fingerprint(m: DataFrame) -> DataFrame:
     return m.agg(F.count(F.lit(1)).alias("n"), total(1).alias("low"), total(16).alias("high"))
 
 
-@query("table_fingerprint_whole", f"WITH {U}, {M} SELECT count(*) AS n, CAST(coalesce(sum({_HASHES.format(1)}), 0) AS VARCHAR) AS low, CAST(coalesce(sum({_HASHES.format(16)}), 0) AS VARCHAR) AS high FROM m")
+@query("table_fingerprint", f"WITH {U}, {M} SELECT count(*) AS n, CAST(coalesce(sum({_HASHES.format(1)}), 0) AS VARCHAR) AS low, CAST(coalesce(sum({_HASHES.format(16)}), 0) AS VARCHAR) AS high FROM m")
 def _(spark, sf):
-    """The fingerprint of the whole mapping, where table_fingerprint takes the ids below 200."""
+    """The fingerprint of the whole mapping."""
     return mapping_fingerprint(base_mapping(spark, sf))
 
 
@@ -679,3 +694,74 @@ def _(spark, sf):
     seed = rewrite.seed_column([("user_id", "FOREIGN_KEY"), ("created_by", "NAMING_CONVENTION")], ("actor_id",), None)
     parts = [rewrite.Configured("first_name", "FIRST_NAME"), rewrite.Configured("last_name", "LAST_NAME")]
     return rewrite.configured(done, parts, rewrite.seed_of(seed), SALT, POOLS)
+
+
+# -- the engine over a store ----------------------------------------------------------------------
+
+
+def _engine(spark, sf, key: bool = False, config: bool = True) -> Engine:
+    """An engine on a store of its own over users, actors and audit rows.
+
+    key: actors' owners are declared as a foreign key, whose strays are left alone."""
+    store = Store(spark, f"{shared_dir(spark)}/pseudora-store-{uuid.uuid4().hex}")
+    c = ColumnInfo
+    tables = {
+        "users": Table("users", [c("user_no", "bigint"), c("user_id", width=WIDTH, nullable=False), *[c(n, width=255) for n in ("first_name", "last_name", "phone", "address", "email")]], ("user_id",)),
+        "actors": Table("actors", [c("actor_id", "bigint"), c("user_id", width=WIDTH), c("created_by", width=WIDTH), c("first_name", width=50), c("last_name", width=50)], ("actor_id",)),
+        "audits": Table("audits", [c("event_id", "bigint"), c("user_id", width=WIDTH), c("event_type", width=50)], ("event_id",)),
+    }
+    keys = [ForeignKey("fk_owner", "actors", ("user_id",), "users", ("user_id",))] if key else []
+    target = Target(store, "sf", {"users": users(spark, sf), "actors": actors(spark, sf), "audits": audits(spark, sf)})
+    e = Engine(spark, store, target, SchemaModel(tables, keys), EngineConfig(user_table="users", user_key="user_id", reference_names=("created_by",)))
+    e.register("audits", "user_id", "OBFUSCATE")
+    e.register("actors", "user_id", "IGNORE" if key else "OBFUSCATE", "FOREIGN_KEY" if key else "MANUAL")
+    kinds = {"users": {"first_name": "FIRST_NAME", "last_name": "LAST_NAME", "phone": "PHONE", "address": "ADDRESS", "email": "EMAIL"}, "actors": {"first_name": "FIRST_NAME", "last_name": "LAST_NAME"}}
+    rows = [{"target_schema": "sf", "table_name": t, "column_name": n, "obfuscation_type": k, "enabled": True} for t, cs in kinds.items() for n, k in cs.items()]
+    store.put("config", rows if config else [])
+    return e
+
+
+@query("engine_run_users", f"WITH {U} SELECT user_no, k AS user_id, {_new_u('k')}, CASE WHEN address IS NOT NULL THEN {sql_pool('ADDRESS', 'k')} END AS address FROM (SELECT *, {sql_id('user_id')} AS k FROM u)")
+def _(spark, sf):
+    """The user table after a whole run of the engine."""
+    e = _engine(spark, sf)
+    e.run(SALT)
+    return e.target.table("users")
+
+
+#: The mapping with the orphans of all references.
+_ME = f"""oe AS (SELECT DISTINCT rtrim(lower(v)) AS k FROM (SELECT user_id AS v FROM a UNION ALL SELECT created_by FROM a UNION ALL SELECT user_id FROM e) WHERE v IS NOT NULL),
+me AS (SELECT * FROM m UNION ALL SELECT k, {sql_id("k")} FROM oe WHERE k NOT IN (SELECT original_user_id FROM m))"""
+
+
+@query("engine_run_actors", f"WITH {U}, {A}, {E}, {M}, {_ME}, d AS ({_REWRITE_A.format(m='me')}), s AS (SELECT *, coalesce(created_by, user_id, CAST(actor_id AS VARCHAR)) AS seed FROM d) "
+       f"SELECT actor_id, user_id, created_by, {sql_pool('FIRST_NAME', 'coalesce(created_by, CAST(actor_id AS VARCHAR))')} AS first_name, {sql_pool('LAST_NAME', 'coalesce(created_by, CAST(actor_id AS VARCHAR))')} AS last_name FROM s")
+def _(spark, sf):
+    """A table with two references after a whole run of the engine."""
+    e = _engine(spark, sf)
+    e.run(SALT)
+    return e.target.table("actors")
+
+
+@query("engine_resume", f"""WITH {U}, {A}, {E}, {M}, k AS (SELECT count(*) AS n FROM a WHERE lower(user_id) IN (SELECT original_user_id FROM m)),
+v AS (SELECT DISTINCT rtrim(lower(v)) AS k FROM (SELECT created_by AS v FROM a UNION ALL SELECT user_id FROM e) WHERE v IS NOT NULL),
+w AS (SELECT (SELECT count(*) FROM m) + (SELECT count(*) FROM v WHERE k NOT IN (SELECT original_user_id FROM m)) AS held)
+SELECT CAST(1 AS INT) AS step, 'FAILED' AS status, '23000' AS error_sqlstate, CAST(1 AS BIGINT) AS dropped, '{ASSESSMENTS["dangling"]}' AS assessment, held AS mapped, (SELECT count(*) FROM a) AS actors FROM w
+UNION ALL SELECT 2, 'COMPLETED', NULL, 0, '{ASSESSMENTS["COMPLETED"]}', held, n FROM w, k""")
+def _(spark, sf):
+    """A run that a foreign key stops, what the engine says of it, and the run that finishes its work after the strays are gone."""
+    e, told = _engine(spark, sf, key=True, config=False), []
+
+    def tell(step):
+        x = e.status()
+        told.append((step, x["last_status"], x["runs"][0]["error_sqlstate"], len(x["dropped"]), x["assessment"], x["mapping_rows_with_originals"], e.target.table("actors").count()))
+
+    try:
+        e.run(SALT)
+    except ObfuscationError:
+        tell(1)
+    mine = e.target.table("actors").join(e.target.table("users"), "user_id", "left_semi")
+    e.target.commit({"actors": e.target.stage("actors", mine, "mended", "strays")}, "mended")
+    e.run(SALT)
+    tell(2)
+    return spark.createDataFrame(told, "step int, status string, error_sqlstate string, dropped bigint, assessment string, mapped bigint, actors bigint")

@@ -1,12 +1,16 @@
 """State of runs and versions of tables, as Parquet under one root.
 
-Files are never changed in place. A table of the store is a series of version folders; a
-reader takes the newest that is complete, a writer adds one and drops all but the last.
+Files are never changed in place. A table of the store is a series of version folders, for
+each target its own where rows belong to targets; a reader takes the newest that is complete,
+a writer adds one and drops all but the last. A writer only touches the targets whose rows it
+changes, so engines of different targets may run on one store side by side.
 Target tables are written to a folder of the run and then entered in the `versions` table,
 which is the commit: readers see the old table until then and the new one after."""
 
 from __future__ import annotations
 
+from urllib.parse import quote, unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.common import empty
@@ -34,53 +38,80 @@ SCHEMAS = {
 LARGE = ("mapping",)
 
 
+def parted(name: str) -> bool:
+    """Whether the rows of a table belong to targets."""
+    return SCHEMAS[name].startswith("target_schema ") or ", target_schema " in SCHEMAS[name]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._rows: dict[str, list[dict]] = {}
+        self._rows: dict[tuple[str, str | None], list[dict]] = {}
 
     def _fs(self, path: str):
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
-    def _versions(self, name: str) -> list[int]:
-        fs, at = self._fs(f"{self.root}/{name}")
-        if not fs.exists(at):
-            return []
-        found = [s.getPath().getName() for s in fs.listStatus(at)]
-        done = [f for f in found if f.startswith("v") and fs.exists(self._fs(f"{self.root}/{name}/{f}/_SUCCESS")[1])]
-        return sorted(int(f[1:]) for f in done)
-
-    def read(self, name: str) -> DataFrame:
-        """The newest complete version, or an empty table."""
-        versions = self._versions(name)
-        if not versions:
-            return empty(self.spark, SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}/v{versions[-1]}")
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        versions = self._versions(name)
+    def _place(self, name: str, part: str | None) -> str:
+        return f"{self.root}/{name}" if part is None else f"{self.root}/{name}/t-{quote(part, safe='').replace('%', '+')}"
+
+    def _names(self, path: str) -> list[str]:
+        fs, at = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+    def _parts(self, name: str) -> list[str | None]:
+        """The targets that a table has rows of; one part without a name where rows belong to none."""
+        if not parted(name):
+            return [None]
+        return sorted(unquote(f[2:].replace("+", "%")) for f in self._names(f"{self.root}/{name}") if f.startswith("t-"))
+
+    def _versions(self, name: str, part: str | None = None) -> list[int]:
+        place = self._place(name, part)
+        fs, _ = self._fs(place)
+        return sorted(int(f[1:]) for f in self._names(place) if f.startswith("v") and fs.exists(self._fs(f"{place}/{f}/_SUCCESS")[1]))
+
+    def read(self, name: str, part: str | None = None) -> DataFrame:
+        """The newest complete version, of one target or of all; or an empty table."""
+        paths = []
+        for p in self._parts(name) if part is None else [part]:
+            versions = self._versions(name, p)
+            if versions:
+                paths.append(f"{self._place(name, p)}/v{versions[-1]}")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths) if paths else empty(self.spark, SCHEMAS[name])
+
+    def replace(self, name: str, df: DataFrame, part: str | None = None) -> None:
+        """A new version of a table, or of a target's part of it."""
+        versions, place = self._versions(name, part), self._place(name, part)
         new = (versions[-1] if versions else 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v{new}")
+        df.write.mode("overwrite").parquet(f"{place}/v{new}")
         for old in versions[:-1]:
-            fs, at = self._fs(f"{self.root}/{name}/v{old}")
+            fs, at = self._fs(f"{place}/v{old}")
             fs.delete(at, True)
-        self._rows.pop(name, None)
+        self._rows.pop((name, part), None)
 
     def rows(self, name: str) -> list[dict]:
         """All rows of a metadata table; read once, then held."""
         if name in LARGE:
             raise ValueError(f"{name} is not for the driver")
-        if name not in self._rows:
-            self._rows[name] = [r.asDict() for r in self.read(name).collect()]
-        return [dict(r) for r in self._rows[name]]
+        out = []
+        for part in dict.fromkeys([*self._parts(name), *(p for n, p in self._rows if n == name)]):
+            if (name, part) not in self._rows:
+                self._rows[name, part] = [r.asDict() for r in self.read(name, part).collect()]
+            out += [dict(r) for r in self._rows[name, part]]
+        return out
 
     def put(self, name: str, rows: list[dict]) -> None:
-        """Replaces a metadata table."""
+        """Replaces a metadata table; targets whose rows are as they were stay untouched."""
         names = [f.split()[0] for f in SCHEMAS[name].split(", ")]
-        data = [tuple(r.get(n) for n in names) for r in rows]
-        self.replace(name, self.spark.createDataFrame(data, SCHEMAS[name]).coalesce(1))
-        self._rows[name] = [dict(zip(names, r, strict=True)) for r in data]
+        data = [{n: r.get(n) for n in names} for r in rows]
+        self.rows(name)
+        parts = {p: [] for n, p in self._rows if n == name} if parted(name) else {None: []}
+        for r in data:
+            parts.setdefault(r["target_schema"] if parted(name) else None, []).append(r)
+        for part, new in parts.items():
+            if new != self._rows.get((name, part)) or (part is None and not self._versions(name)):
+                self.replace(name, self.spark.createDataFrame([tuple(r.values()) for r in new], SCHEMAS[name]).coalesce(1), part)
+                self._rows[name, part] = new
 
     def upsert(self, name: str, keys: tuple[str, ...], rows: list[dict]) -> None:
         held = {tuple(r[k] for k in keys): r for r in self.rows(name)}

@@ -1,10 +1,14 @@
-"""New rows through the stored mapping, as a stream.
+"""New rows through a retained mapping, as a stream.
 
 Ids are pure functions of salt and original, so a micro-batch needs no state but the
-mapping: known ids are joined, new ones are mapped and added before the batch is written."""
+mapping: known ids are joined, new ones are mapped and added before the batch is written.
+`known` gives a mapping that a run has left, such as Engine.mapping of a store; what the
+stream adds stands beside it, in a folder for each batch."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +16,7 @@ from ..operators import mapping, rewrite
 from ..operators.common import empty, kept
 
 
-def rewrite_stream(stream: DataFrame, columns: list[str], mapping_path: str, out_path: str, checkpoint: str, salt: str, max_len: int = 254):
+def rewrite_stream(stream: DataFrame, columns: list[str], mapping_path: str, out_path: str, checkpoint: str, salt: str, max_len: int = 254, known: Callable[[], DataFrame] | None = None):
     """Starts a query that rewrites `columns` of every micro-batch and appends to out_path.
 
     The mapping lives at mapping_path/<batch>; ids that it lacks are added by the batch that
@@ -22,9 +26,9 @@ def rewrite_stream(stream: DataFrame, columns: list[str], mapping_path: str, out
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = kept(batch)
         parts = [f"{mapping_path}/{i}" for i in range(batch_id)]
-        held = empty(spark, mapping.MAPPING)
+        held = known().select("original_user_id", "obfuscated_user_id") if known else empty(spark, mapping.MAPPING)
         if parts:
-            held = spark.read.schema(mapping.MAPPING).parquet(*parts)
+            held = held.unionByName(spark.read.schema(mapping.MAPPING).parquet(*parts))
         new = empty(spark, "v string")
         for c in columns:
             new = new.union(batch.select(F.col(f"`{c}`").cast("string")))

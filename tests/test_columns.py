@@ -67,5 +67,7 @@ def test_sql_functions(spark):
     C.register(spark, SALT)
     r = spark.sql(f"SELECT obfuscated_user_id('john@test.com', 0) a, synthetic_phone('{GOLDEN[0][1]}') b, synthetic_first_name('{GOLDEN[0][1]}') c").first()
     assert tuple(r) == (GOLDEN[0][1], GOLDEN[0][4], GOLDEN[0][2])
+    r = spark.sql("SELECT obfuscated_user_id('ab', 0, 8) a, quote_identifier('a`b') b, quote_qualified('s', 't') c").first()
+    assert tuple(r) == ("f3bd9.5764", "`a``b`", "`s`.`t`")
     with pytest.raises(Exception):
         spark.sql("SELECT no_such_function('x')").collect()

@@ -215,3 +215,41 @@ def test_model_round_trip_and_stream(spark, tmp_path):
     out = {r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("user_id").collect()}
     want = {r[0] for r in spark.createDataFrame([(x,) for x in "abc"], "o string").select(C.user_id(F.col("o"), SALT, 0, 254)).collect()}
     assert out == want
+
+
+def test_two_engines_on_one_store_keep_each_others_rows(spark, tmp_path):
+    """Each has a Store of its own on the same root, and has read it before the other writes."""
+    one, two = engine(spark, tmp_path, name="one/a"), engine(spark, tmp_path, name="two")
+    assert [len(e.own("run")) for e in (one, two)] == [0, 0]
+    one.run(SALT)
+    two.run("salt-two")
+    one.prune(1)
+    fresh = Store(spark, str(tmp_path))
+    assert sorted(r["target_schema"] for r in fresh.rows("run")) == ["one/a", "two"] and fresh.read("mapping").count() == 6
+    assert len({r["target_schema"] for r in fresh.rows("run_log")}) == 2 and len(fresh.rows("config")) == 12
+    dates = {r[0] for r in one.mapping().select("created_date").collect()}
+    one.purge()
+    assert {r[0] for r in one.mapping().select("created_date").collect()} == dates
+
+
+def test_numeric_references_are_skipped_or_stop(spark, tmp_path):
+    widget = Table("dap_Widget", [ColumnInfo("WidgetID", "bigint"), ColumnInfo("CreatedBy", "bigint")], ("WidgetID",))
+    more = {"dap_Widget": spark.createDataFrame([(101, 1)], "WidgetID bigint, CreatedBy bigint")}
+    e = engine(spark, tmp_path / "a", m=model([widget]), more=more)
+    e.run(SALT)
+    assert any("dap_Widget.CreatedBy holds no strings" in x for x in logged(e, "obf_sp_validate_obfuscation", "SKIP")) and e.mapping().count() == 3
+    assert any(x == "dap_User: 3 row(s) written." for x in logged(e, "obf_sp_obfuscate_user_references", "OK"))
+    e = engine(spark, tmp_path / "b", m=model([widget]), more=more)
+    e.config.strict_types = True
+    with pytest.raises(ObfuscationError):
+        e.run(SALT)
+
+
+def test_stream_reads_the_mapping_of_a_run(spark, tmp_path):
+    e = engine(spark, tmp_path / "s")
+    e.run(SALT)
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("JOHN@test.com",), ("new",)], "user_id string").coalesce(1).write.parquet(src)
+    rewrite_stream(spark.readStream.schema("user_id string").parquet(src), ["user_id"], str(tmp_path / "map"), str(tmp_path / "out"), str(tmp_path / "cp"), SALT, known=e.mapping).awaitTermination()
+    assert "690d09900c83e8c51.13a83702a545e8b2" in {r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("user_id").collect()}
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "map" / "0")).select("original_user_id").collect()] == ["new"]
