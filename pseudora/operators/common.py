@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 16 << 20
 
 
-def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def fits(df: DataFrame) -> bool:
+    """Whether the estimated size of df is within the limit."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= BROADCAST_BYTES
+
+
+def sized(df: DataFrame) -> DataFrame:
     """A broadcast hint for a side whose estimated size is within the limit; else the side
     as it is, for a shuffled join whose skewed keys adaptive execution splits."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(estimate)) <= limit else df
+    return F.broadcast(df) if fits(df) else df
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import norm, replacement
-from .common import sized
+from ..functions.columns import MOST_ID, norm, replacement, user_id
+from .common import fits, kept, sized
+from .mapping import unmapped
 
 
 @dataclass(frozen=True)
@@ -25,20 +26,49 @@ class Configured:
     value: str | None = None
 
 
-def rewrite_ids(table: DataFrame, columns: list[str], mapping: DataFrame) -> DataFrame:
-    """Every id in `columns` that is an original becomes its obfuscated id; others stay."""
-    out = table
+def exceptions(values: DataFrame, column: str, mapping: DataFrame, salt: str, max_len: int) -> DataFrame:
+    """Keys of a column whose first generated id is not what the mapping gives: (key, becomes).
+
+    These are values that the mapping lacks, which stay (`becomes` is null), and originals whose
+    id was taken, or came with another salt. Reads one column; repeats go before the shuffle."""
+    keys = values.select(norm(F.col(f"`{column}`").cast("string")).alias("key")).filter("key IS NOT NULL").distinct()
+    found = keys.join(mapping.select("original_user_id", F.col("obfuscated_user_id").alias("becomes")), F.col("key") == F.col("original_user_id"), "left")
+    return found.filter(~F.col("becomes").eqNullSafe(user_id(F.col("key"), salt, 0, max_len))).select("key", "becomes")
+
+
+def rewrite_ids(table: DataFrame, columns: list[str], mapping: DataFrame, salt: str | None = None, max_len: int = MOST_ID, values: DataFrame | None = None) -> DataFrame:
+    """Every id in `columns` that is an original becomes its obfuscated id; others stay.
+
+    A mapping within the broadcast limit is joined. Beyond it, if the salt and length of its
+    ids are given, ids are computed in their rows and only the exceptions are joined, so a wide
+    table is not shuffled; results are the same. `values` has the same columns (or more values
+    of them) from a cheaper plan, to look for exceptions in."""
+    out, inplace = table, salt is not None and not fits(mapping.select("original_user_id", "obfuscated_user_id"))
     for i, name in enumerate(columns):
-        side = mapping.select(F.col("original_user_id").alias(f"__o{i}"), F.col("obfuscated_user_id").alias(f"__x{i}"))
-        out = out.join(sized(side), norm(out[f"`{name}`"].cast("string")) == F.col(f"__o{i}"), "left")
-        out = out.withColumn(name, F.coalesce(F.col(f"__x{i}"), out[f"`{name}`"])).drop(f"__o{i}", f"__x{i}")
+        old = F.col(f"`{name}`")
+        key = norm(old.cast("string"))
+        if inplace:
+            side = kept(exceptions(table if values is None else values, name, mapping, salt, max_len)).withColumn("found", F.lit(True))
+            new = F.when(F.col(f"__f{i}"), F.coalesce(F.col(f"__x{i}"), old)).otherwise(user_id(key, salt, 0, max_len))
+        else:
+            side = mapping.select(F.col("original_user_id").alias("key"), F.col("obfuscated_user_id").alias("becomes"), F.lit(True).alias("found"))
+            new = F.coalesce(F.col(f"__x{i}"), old)
+        side = side.select(F.col("key").alias(f"__o{i}"), F.col("becomes").alias(f"__x{i}"), F.col("found").alias(f"__f{i}"))
+        out = out.join(sized(side), key == F.col(f"__o{i}"), "left").withColumn(name, new).drop(f"__o{i}", f"__x{i}", f"__f{i}")
     return out.select(*[F.col(f"`{c}`") for c in table.columns])
 
 
 def nullify(table: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    """Values of a reference column that no known person has become null."""
+    """Values of a reference column that no known person has become null.
+
+    Beyond the broadcast limit the distinct strays are joined, which are few, not all known ids."""
+    if not fits(mapping.select("original_user_id", "obfuscated_user_id")):
+        strays = kept(unmapped(table.select(F.col(f"`{column}`").cast("string").alias("v")), "v", mapping))
+        strays = strays.select(F.col("original_user_id").alias("__k"), F.lit(True).alias("__stray"))
+        out = table.join(sized(strays), norm(F.col(f"`{column}`").cast("string")) == F.col("__k"), "left")
+        return out.withColumn(column, F.when(F.col("__stray").isNull(), F.col(f"`{column}`"))).select(*[F.col(f"`{c}`") for c in table.columns])
     known = mapping.select(F.col("original_user_id").alias("__k")).union(mapping.select(norm(F.col("obfuscated_user_id")))).distinct().withColumn("__known", F.lit(True))
-    out = table.join(sized(known), norm(F.col(f"`{column}`")) == F.col("__k"), "left")
+    out = table.join(sized(known), norm(F.col(f"`{column}`").cast("string")) == F.col("__k"), "left")
     return out.withColumn(column, F.when(F.col("__known"), F.col(f"`{column}`"))).select(*[F.col(f"`{c}`") for c in table.columns])
 
 

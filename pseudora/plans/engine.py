@@ -263,7 +263,8 @@ class Engine:
 
     def plan_table(self, name: str, nulls: list[tuple[str, str]], salt: str, configured: bool) -> DataFrame:
         """One projection: nullified, rewritten and, if asked for, configured columns."""
-        df, ids = self.target.table(name), self.mapping().select("original_user_id", "obfuscated_user_id")
+        raw, ids = self.target.table(name), self.mapping().select("original_user_id", "obfuscated_user_id")
+        df = raw
         for t, c in nulls:
             if t == name:
                 df = rewrite.nullify(df, c, ids)
@@ -271,7 +272,7 @@ class Engine:
         columns = [r["column_name"] for r in refs if rewrite.is_string(df, r["column_name"])]
         if name == self.config.user_table and self.config.user_key not in columns:
             columns.append(self.config.user_key)
-        df = rewrite.rewrite_ids(df, columns, ids)
+        df = rewrite.rewrite_ids(df, columns, ids, salt, max(self.user_width() - 1, 8), raw)
         wanted = [r for r in self.own("config") if r["enabled"] and r["table_name"] == name]
         if not configured or not wanted:
             return df

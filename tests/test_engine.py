@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pseudora.functions import columns as C
+from pseudora.operators import common, rewrite
 from pseudora.plans.engine import ASSESSMENTS, Engine
 from pseudora.plans.hooks import Hooks
 from pseudora.plans.model import ColumnInfo, ForeignKey, ObfuscationError, SchemaModel, Table
 from pseudora.sources.store import Store, Target
-from pseudora.streaming.delta import rewrite_stream
+from pseudora.streaming.delta import folders, rewrite_stream
 
 SALT = "test-salt-001"
 USERS = [
@@ -253,3 +254,63 @@ def test_stream_reads_the_mapping_of_a_run(spark, tmp_path):
     rewrite_stream(spark.readStream.schema("user_id string").parquet(src), ["user_id"], str(tmp_path / "map"), str(tmp_path / "out"), str(tmp_path / "cp"), SALT, known=e.mapping).awaitTermination()
     assert "690d09900c83e8c51.13a83702a545e8b2" in {r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("user_id").collect()}
     assert [r[0] for r in spark.read.parquet(str(tmp_path / "map" / "0")).select("original_user_id").collect()] == ["new"]
+
+
+def _wide(spark):
+    """Ids of every kind: mapped, with another id, in capitals, with blanks, already new, strays, nulls, and one on most rows."""
+    first = lambda k: spark.range(1).select(C.user_id(F.lit(k), SALT, 0, 33)).first()[0]
+    mapping = spark.createDataFrame([("a", first("a")), ("b", "taken.before"), ("c", first("c")), ("d d", first("d d"))], "original_user_id string, obfuscated_user_id string")
+    ids = ["a", "A", "a  ", "b", "B ", "c", first("c"), "taken.before", "TAKEN.before ", "stray", "Stray", "", " ", None, "d d", *["a"] * 60]
+    table = spark.createDataFrame([(i, v, ids[-i - 1], f"x{i}") for i, v in enumerate(ids)], "n int, `user.id` string, by string, key string")
+    return table, common.kept(mapping)
+
+
+def test_ids_computed_in_their_rows_are_those_of_the_join(spark, monkeypatch):
+    table, mapping = _wide(spark)
+    columns = ["user.id", "by"]
+    joined = sorted(rewrite.rewrite_ids(table, columns, mapping).collect())
+    assert joined[3]["user.id"] == "taken.before" and joined[9]["user.id"] == "stray" and joined[13]["user.id"] is None
+    assert common.fits(mapping)
+    nulled = rewrite.nullify(table, "user.id", mapping).collect()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    for salt in (SALT, "another"):
+        out = rewrite.rewrite_ids(table, columns, mapping, salt, 33)
+        assert out.schema == table.schema and sorted(out.collect()) == sorted(joined)
+    assert sorted(rewrite.nullify(table, "user.id", mapping).collect(), key=str) == sorted(nulled, key=str)
+    assert rewrite.rewrite_ids(table.limit(0), columns, mapping, SALT, 33).count() == 0
+
+
+def test_only_exceptions_are_joined(spark, monkeypatch):
+    table, mapping = _wide(spark)
+    found = {r["key"]: r["becomes"] for r in rewrite.exceptions(table, "user.id", mapping, SALT, 33).collect()}
+    assert found.pop("b") == "taken.before" and set(found.values()) == {None} and set(found) >= {"stray", "", "taken.before"} and not {"a", "c", "d d"} & set(found)
+
+
+def test_a_run_beyond_the_broadcast_limit_gives_the_same_tables(spark, tmp_path, monkeypatch):
+    strays = [*ACTORS, (3, "ghost@test.com", "JANE@test.com ", "G", "H"), (4, None, "mark@test.com", None, "Smith")]
+    told = []
+    for limit in (common.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        e = engine(spark, tmp_path / str(limit), actors=strays)
+        e.discover()
+        e.register("dap_Actor", "UserID", "NULLIFY", "FOREIGN_KEY")
+        e.run(SALT)
+        told.append([sorted(e.target.table(t).collect(), key=str) for t in ("dap_User", "dap_Actor")])
+    assert told[0] == told[1] and told[0][1][2]["UserID"] is None
+
+
+def test_a_batch_of_a_stream_reads_few_folders():
+    assert folders("m", 0) == [] and folders("m", 1) == ["m/0"] and folders("m", 11) == ["m/10"]
+    assert folders("m", 10) == [f"m/{i}" for i in range(10)] and folders("m", 20)[0] == "m/10"
+
+
+def test_a_stream_keeps_its_ids_past_a_whole_folder(spark, tmp_path):
+    src = tmp_path / "in"
+    for i in range(13):
+        spark.createDataFrame([("early@x",), (f"u{i}@x",)], "user_id string").coalesce(1).write.parquet(str(src / f"{i:02d}"))
+    stream = spark.readStream.schema("user_id string").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1").parquet(str(src))
+    rewrite_stream(stream, ["user_id"], str(tmp_path / "map"), str(tmp_path / "out"), str(tmp_path / "cp"), SALT).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 26 and out.select("user_id").distinct().count() == 14
+    read = spark.read.parquet(*folders(str(tmp_path / "map"), 13))
+    assert read.count() == 14 and read.select("original_user_id").distinct().count() == 14
