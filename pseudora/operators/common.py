@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
 
 
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "timestamp": pa.timestamp("us", "UTC")}
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver holds, sent as Arrow, which takes no Python worker. Times without a zone are local."""
+    made = {}
+    for i, (name, kind) in enumerate(c.split() for c in schema.split(", ")):
+        values = [r[i] for r in rows]
+        made[name] = pa.array([v.astimezone(UTC) if isinstance(v, datetime) else v for v in values], _ARROW[kind])
+    return spark.createDataFrame(pa.table(made), schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir as the session has it; a folder of our own only in one process."""
     sc = spark.sparkContext

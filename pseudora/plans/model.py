@@ -7,9 +7,12 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.common import local_rows
+
 STRING_LIKE = ("varchar", "char", "text", "tinytext", "mediumtext", "longtext", "enum", "set", "string")
 
 
@@ -90,7 +93,7 @@ class SchemaModel:
             (f.name, f.table, c, i, f.ref_table, r, f.update_rule, f.delete_rule)
             for f in self.foreign_keys for i, (c, r) in enumerate(zip(f.columns, f.ref_columns, strict=True))
         ]
-        make = spark.createDataFrame
+        make = partial(local_rows, spark)
         return {
             "tables": make(tables, "table_name string, table_kind string"),
             "columns": make(columns, "table_name string, column_name string, data_type string, width int, nullable boolean, ordinal int"),

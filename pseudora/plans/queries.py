@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import discovery, integrity, mapping, orphans, preflight, rewrite, truncation, validation
-from ..operators.common import empty, shared_dir
+from ..operators.common import empty, local_rows, shared_dir
 from ..sources.store import Store, Target
 from .engine import ASSESSMENTS, Engine
 from .model import STRING_LIKE, ColumnInfo, EngineConfig, ForeignKey, ObfuscationError, SchemaModel, Table
@@ -397,7 +397,7 @@ _SCHEMAS = {
 
 
 def meta(spark) -> dict[str, DataFrame]:
-    return {k: spark.createDataFrame(rows, schema) for k, (rows, schema) in _SCHEMAS.items()}
+    return {k: local_rows(spark, rows, schema) for k, (rows, schema) in _SCHEMAS.items()}
 
 
 def _values(name: str) -> str:
@@ -470,7 +470,7 @@ def _(spark, sf):
     found: dict[str, list[tuple[str, str]]] = {}
     for r in _discovered(spark).filter("enabled").collect():  # a row a reference column
         found.setdefault(r["table_name"], []).append((r["column_name"], r["discovery_method"]))
-    return spark.createDataFrame([(t, rewrite.seed_column(refs, (), None)[0]) for t, refs in found.items()], "table_name string, seed_column string")
+    return local_rows(spark, [(t, rewrite.seed_column(refs, (), None)[0]) for t, refs in found.items()], "table_name string, seed_column string")
 
 
 # -- R11, R13: preflight -------------------------------------------------------------------
@@ -628,7 +628,7 @@ f AS (SELECT target_schema, count(*) AS n FROM fk_state WHERE NOT restored GROUP
 SELECT target_schema, status, coalesce(n, 0) AS dropped, {_ASSESSED} AS assessment FROM l LEFT JOIN f USING (target_schema)""")
 def _(spark, sf):
     told = [(t, e.status()) for t, e in _recorded(spark)[1].items()]
-    return spark.createDataFrame([(t, x["last_status"], len(x["dropped"]), x["assessment"]) for t, x in told], "target_schema string, status string, dropped bigint, assessment string")
+    return local_rows(spark, [(t, x["last_status"], len(x["dropped"]), x["assessment"]) for t, x in told], "target_schema string, status string, dropped bigint, assessment string")
 
 
 @query("prune_keep_newest", _with("runs") + "SELECT run_id, target_schema, status FROM (SELECT *, row_number() OVER (PARTITION BY target_schema ORDER BY started_at DESC, run_id DESC) AS n FROM runs) WHERE n <= 2 OR status = 'RUNNING'")
@@ -641,7 +641,7 @@ def _(spark, sf):
 
 @query("latest_runs", _with("runs") + "SELECT run_id, status FROM runs WHERE target_schema = 't' ORDER BY started_at DESC, run_id DESC LIMIT 5")
 def _(spark, sf):
-    return spark.createDataFrame([(r["run_id"], r["status"]) for r in _recorded(spark)[1]["t"].status()["runs"]], "run_id string, status string")
+    return local_rows(spark, [(r["run_id"], r["status"]) for r in _recorded(spark)[1]["t"].status()["runs"]], "run_id string, status string")
 
 
 @query("supersede_running", _with("runs") + "SELECT run_id, target_schema, CASE WHEN target_schema = 't' AND status = 'RUNNING' THEN 'SUPERSEDED' ELSE status END AS status FROM runs")
@@ -764,4 +764,4 @@ def _(spark, sf):
     e.target.commit({"actors": e.target.stage("actors", mine, "mended", "strays")}, "mended")
     e.run(SALT)
     tell(2)
-    return spark.createDataFrame(told, "step int, status string, error_sqlstate string, dropped bigint, assessment string, mapped bigint, actors bigint")
+    return local_rows(spark, told, "step int, status string, error_sqlstate string, dropped bigint, assessment string, mapped bigint, actors bigint")

@@ -13,7 +13,7 @@ from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.common import empty
+from ..operators.common import empty, local_rows
 
 SCHEMAS = {
     "config": "config_id bigint, target_schema string, table_name string, column_name string, obfuscation_type string, static_value string, enabled boolean",
@@ -110,7 +110,7 @@ class Store:
             parts.setdefault(r["target_schema"] if parted(name) else None, []).append(r)
         for part, new in parts.items():
             if new != self._rows.get((name, part)) or (part is None and not self._versions(name)):
-                self.replace(name, self.spark.createDataFrame([tuple(r.values()) for r in new], SCHEMAS[name]).coalesce(1), part)
+                self.replace(name, local_rows(self.spark, [tuple(r.values()) for r in new], SCHEMAS[name]).coalesce(1), part)
                 self._rows[name, part] = new
 
     def upsert(self, name: str, keys: tuple[str, ...], rows: list[dict]) -> None:

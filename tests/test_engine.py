@@ -1,5 +1,7 @@
 """Whole runs on the two-table fixture: invariants of a run, its state and its failures."""
 
+from datetime import datetime, timedelta, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,3 +316,15 @@ def test_a_stream_keeps_its_ids_past_a_whole_folder(spark, tmp_path):
     assert out.count() == 26 and out.select("user_id").distinct().count() == 14
     read = spark.read.parquet(*folders(str(tmp_path / "map"), 13))
     assert read.count() == 14 and read.select("original_user_id").distinct().count() == 14
+
+
+def test_rows_of_the_driver_come_back_as_they_are(spark, tmp_path):
+    schema = "a string, b bigint, c int, d boolean, e timestamp"
+    rows = [("x", 2**40, 1, True, datetime(2026, 7, 1, 12, 30, 0, 5)), (None, None, None, None, None), ("é\n", -1, 0, False, datetime(1999, 1, 1))]
+    for given in (rows, rows[1:2], []):
+        made, plain = common.local_rows(spark, given, schema), spark.createDataFrame(given, schema)
+        assert made.schema == plain.schema and made.collect() == plain.collect()
+        made.write.parquet(str(tmp_path / str(len(given))))
+        assert sorted(spark.read.schema(schema).parquet(str(tmp_path / str(len(given)))).collect(), key=str) == sorted(plain.collect(), key=str)
+    zoned = datetime(2026, 7, 1, tzinfo=timezone(timedelta(hours=5)))
+    assert common.local_rows(spark, [(zoned,)], "e timestamp").collect() == spark.createDataFrame([(zoned,)], "e timestamp").collect()
