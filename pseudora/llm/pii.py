@@ -59,7 +59,7 @@ _PRIVATE = "".join(chr(0xF8D0 + k) for k in range(len(_SPAN_CHARS)))
 _MARKED = f"[{_PRIVATE[0]}-{_PRIVATE[-1]}]"
 #: Tokens shaped like identifiers, tried once a token: with a mark of identity after what has none.
 _PLAIN = rf"[^{_BREAKS}0123456789@_.+%\-{_PRIVATE[0]}-{_PRIVATE[-1]}]"
-CANDIDATE = rf"(?<![^{_BREAKS}])(?:{_PLAIN}*+(?:[0123456789@_]|{_MARKED}|(?<=[A-Za-z])[.+%\-](?=[A-Za-z])|[.+%\-]++(?=[^{_BREAKS}]*?[0123456789@_])))[^{_BREAKS}]*+"
+CANDIDATE = rf"(?<![^{_BREAKS}])(?:{_PLAIN}*+(?:[0123456789@_]|{_MARKED}|(?<=[A-Za-z])[.+%\-](?=[A-Za-z])|[.+%\-]++(?=[^{_BREAKS}]*?(?:[0123456789@_]|{_MARKED}))))[^{_BREAKS}]*+"
 #: Code points beside a token in which its context words are looked for first; where they do not show whole, in all of the text.
 REACH = 160
 
