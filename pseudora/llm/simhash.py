@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import scratch, small, text_batches, written
-from .components import components
+from .components import components, hook
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Rows of a tile: two tiles are compared in blocks of about a million pairs.
@@ -167,16 +167,7 @@ def _stars(a: np.ndarray, b: np.ndarray | None, radius: int, wide_radius: int |
     shift = 0 if b is None else len(a)
     parent = np.arange(len(a) + (0 if b is None else len(b)))
     for i, j in _near(a, a if b is None else b, radius, wide_radius, b is None, sizes):
-        j = j + shift
-        while True:  # hook the larger root on the smaller, then shorten all paths
-            p, q = parent[i], parent[j]
-            apart = p != q
-            if not apart.any():
-                break
-            i, j, p, q = i[apart], j[apart], p[apart], q[apart]
-            np.minimum.at(parent, np.maximum(p, q), np.minimum(p, q))
-            while not ((up := parent[parent]) == parent).all():
-                parent = up
+        parent = hook(parent, i, j + shift)
     moved = np.flatnonzero(parent != np.arange(len(parent)))
     return moved, parent[moved]
 

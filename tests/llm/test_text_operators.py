@@ -157,6 +157,34 @@ def test_links_connect_all_within_radius(spark, radius, tile):
     assert len({roots.get(x, x) for x in fps.view(np.int64).tolist()}) == len(groups)
 
 
+@pytest.mark.parametrize("edges", [[], [(5, 5)], [(3, 2), (2, 3), (3, 2)], None])
+def test_components_settle_alike_on_the_driver_and_off_it(spark, edges):
+    if edges is None:  # chains, hubs and pairs, with ids of either sign
+        rng = np.random.default_rng(4)
+        edges = [(int(a), int(b)) for a, b in rng.integers(-400, 400, (300, 2))] + [(1000, i) for i in range(1001, 1060)] + [(i + 1, i) for i in range(2000, 2040)] + [(-(2**63), 2**63 - 1)]
+    groups = {x: {x} for e in edges for x in e}
+    for a, b in edges:
+        if groups[a] is not groups[b]:
+            groups[a] |= groups[b]
+            groups |= dict.fromkeys(groups[b], groups[a])
+    table = spark.createDataFrame(edges, "u bigint, v bigint")
+    for settled in (components.SETTLED_EDGES, 0):
+        got = components.components(table, settled=settled)
+        assert dict(got.dtypes) == {"node": "bigint", "root": "bigint"}
+        assert sorted(map(tuple, got.collect())) == sorted((x, min(g)) for x, g in groups.items())
+
+
+def test_components_of_few_edges_take_few_jobs(spark):
+    """A chain takes the distributed steps many rounds, each of them four jobs and more of the driver's memory."""
+    table = spark.createDataFrame([(i + 1, i) for i in range(300)], "u bigint, v bigint")
+    spark.sparkContext.setJobGroup("few edges", "")
+    try:
+        assert components.components(table).filter("root = 0").count() == 301
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few edges")) <= 8
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 # -- 4: quality ------------------------------------------------------------------------------
 
 
